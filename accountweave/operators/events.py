@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from accountweave.functions import interest_label, normalize_domain, normalize_email, record_hash, to_instant, to_whole
 from accountweave.operators.dedup import keep_latest
-from accountweave.operators.joins import HOT_KEY_ROWS, lookup_join
+from accountweave.operators.joins import HOT_KEY_ROWS, key_counts, lookup_join
+from accountweave.sources.staging import stage
 
 SOURCE_SYSTEM = "digital_events"
 NEWEST = ("timestamp", "_ingested_at", "_kafka_partition", "_kafka_offset")
@@ -58,22 +59,33 @@ def _links_by(identities: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
-def visitor_accounts(landed: DataFrame, identities: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Contact and account of every (anonymous id, email) pair that occurs in the events.
-
-    The match by anonymous id goes before the match by email, per column. It is done on the distinct pairs, a narrow
-    and pre-aggregated frame, so that the wide events are joined once and not twice.
-    """
-    pairs = (
-        landed.select(
+def visitor_pairs(landed: DataFrame) -> DataFrame:
+    """The (anonymous id, email) pairs that occur in the events, with the number of rows of each."""
+    return (
+        landed.where(F.col("event_id").isNotNull())
+        .select(
             F.col("identity_resolution.anonymous_id").alias("anonymous_id"),
             normalize_email("identity_resolution.email").alias("email"),
         )
         .where(F.coalesce("anonymous_id", "email").isNotNull())
-        .distinct()
+        .groupBy("anonymous_id", "email")
+        .agg(F.count("*").alias("_n"))
+    )
+
+
+def visitor_accounts(pairs: DataFrame, identities: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Contact and account of every pair; the match by anonymous id goes before the match by email, per column."""
+    by_id = lookup_join(
+        pairs, _links_by(identities, "anonymous_id", "a"), "anonymous_id", ["email"], hot_rows=hot_rows
+    )
+    both = lookup_join(
+        by_id,
+        _links_by(identities, "email", "e"),
+        "email",
+        ["anonymous_id"],
+        key_counts(pairs, ["email"]),
+        hot_rows,
     )
-    by_id = lookup_join(pairs, _links_by(identities, "anonymous_id", "a"), "anonymous_id", ["email"], pairs, hot_rows)
-    both = lookup_join(by_id, _links_by(identities, "email", "e"), "email", ["anonymous_id"], pairs, hot_rows)
     return both.select(
         _visitor().alias("_visitor"),
         F.coalesce("a_contact_id", "e_contact_id").alias("contact_id"),
@@ -81,11 +93,22 @@ def visitor_accounts(landed: DataFrame, identities: DataFrame, hot_rows: int = H
     )
 
 
-def customer_events(landed: DataFrame, identities: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Landed events + identity map -> canonical events. Shuffles of wide rows: the dedup and one join."""
+def customer_events(
+    landed: DataFrame,
+    identities: DataFrame,
+    hot_rows: int = HOT_KEY_ROWS,
+    stage_folder: str | None = None,
+) -> DataFrame:
+    """Landed events + identity map -> canonical events.
+
+    Ids are looked up for the distinct visitor pairs, a narrow frame that one aggregation over the events gives and
+    that is staged with its row counts. The wide rows are shuffled twice only: for the dedup and for one join.
+    """
+    pairs = stage(visitor_pairs(landed), "visitor_pairs", stage_folder)
+    links = visitor_accounts(pairs, identities, hot_rows)
     flat = flat_events(landed).withColumn("_visitor", _visitor())
-    links = visitor_accounts(landed, identities, hot_rows)
-    linked = lookup_join(flat, links, "_visitor", ["event_id"], hot_rows=hot_rows)
+    counts = pairs.select(_visitor().alias("_visitor"), "_n")
+    linked = lookup_join(flat, links, "_visitor", ["event_id"], counts, hot_rows)
     return linked.select(
         "*",
         F.lit(SOURCE_SYSTEM).alias("source_system"),

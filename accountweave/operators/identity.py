@@ -18,7 +18,8 @@ from accountweave.functions import (
     strip_prefix,
     to_instant,
 )
-from accountweave.operators.joins import HOT_KEY_ROWS, lookup_join
+from accountweave.operators.joins import HOT_KEY_ROWS, key_counts, lookup_join
+from accountweave.sources.staging import stage
 
 KEYS = ("anonymous_id", "email", "domain")
 
@@ -131,10 +132,10 @@ def match_email(tuples: DataFrame, contacts: DataFrame, hot_rows: int = HOT_KEY_
 
 
 def match_domain(
-    tuples: DataFrame, accounts: DataFrame, counts_from: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS
+    tuples: DataFrame, accounts: DataFrame, counts: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
     spread = ["anonymous_id", "email", "direct_contact", "direct_account"]
-    return lookup_join(tuples, accounts_by_domain(accounts), "domain", spread, counts_from, hot_rows)
+    return lookup_join(tuples, accounts_by_domain(accounts), "domain", spread, counts, hot_rows)
 
 
 def resolve_groups(matched: DataFrame) -> DataFrame:
@@ -164,9 +165,9 @@ def visitor_links(groups: DataFrame) -> DataFrame:
     )
 
 
-def stitch(groups: DataFrame, counts_from: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def stitch(groups: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Carry what is known about a visitor to all of its rows; rows without a visitor keep their own ids."""
-    linked = lookup_join(groups, visitor_links(groups), "anonymous_id", ["email", "domain"], counts_from, hot_rows)
+    linked = lookup_join(groups, visitor_links(groups), "anonymous_id", ["email", "domain"], hot_rows=hot_rows)
     return linked.select(
         *KEYS,
         F.coalesce("visitor_contact_id", "contact_id").alias("contact_id"),
@@ -182,13 +183,20 @@ def identity_map(
     accounts: DataFrame,
     existing: DataFrame | None = None,
     hot_rows: int = HOT_KEY_ROWS,
+    stage_folder: str | None = None,
 ) -> DataFrame:
-    """Landed events + canonical contacts and accounts (+ an earlier map) -> one row per (visitor, email, domain)."""
-    tuples = identity_sources(events, contacts, accounts, existing)
-    matched = match_domain(match_email(tuples, contacts, hot_rows), accounts, tuples, hot_rows)
-    resolved = stitch(resolve_groups(matched), tuples, hot_rows)
+    """Landed events + canonical contacts and accounts (+ an earlier map) -> one row per (visitor, email, domain).
+
+    The aggregated tuples and the resolved groups are staged: both feed several branches, and both are small next to
+    the events, which are read once.
+    """
+    tuples = stage(identity_sources(events, contacts, accounts, existing), "identity_tuples", stage_folder)
+    matched = match_domain(
+        match_email(tuples, contacts, hot_rows), accounts, key_counts(tuples, ["domain"]), hot_rows
+    )
+    groups = stage(resolve_groups(matched), "identity_groups", stage_folder)
     parts = [F.coalesce(k, F.lit("")) for k in KEYS]
-    return resolved.select(
+    return stitch(groups, hot_rows).select(
         F.concat(F.lit("idn_"), F.sha2(F.concat_ws("||", *parts), 256)).alias("identity_id"),
         "*",
         F.current_timestamp().alias("updated_at"),

@@ -21,18 +21,20 @@ def within_broadcast_limit(df: DataFrame) -> bool:
     return size <= limit
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """The most frequent values of ``keys`` and the number of chunks each is to be split into.
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key, as ``_n``."""
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """The most frequent keys and the number of chunks each is to be split into.
 
     At most ``MAX_HOT_KEYS`` rows, whatever the input, so the result may be broadcast. Keys beyond that hold less
-    than ``1 / MAX_HOT_KEYS`` of the rows each. Counting is exact and ties are ordered, so that a recomputed task
-    sees the same chunks.
+    than ``1 / MAX_HOT_KEYS`` of the rows each. Counts are exact and ties are ordered, so that a recomputed task sees
+    the same chunks.
     """
     return (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= hot_rows)
+        counts.where(F.col("_n") >= hot_rows)
         .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
         .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_chunks"))
@@ -44,7 +46,7 @@ def lookup_join(
     lookup: DataFrame,
     key: str | Sequence[str],
     spread_by: Sequence[str],
-    counts_from: DataFrame | None = None,
+    counts: DataFrame | None = None,
     hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Left join of ``left`` to ``lookup``, which has one row per key; key columns have one name on both sides.
@@ -55,13 +57,14 @@ def lookup_join(
     Slots come from a hash of ``spread_by`` (columns that tell the rows of one key apart), never from a random
     number: a task that is run again deals the same way.
 
-    ``counts_from`` may name a cheaper frame with the same key columns to count on; it only sets the chunk numbers.
+    ``counts`` gives the rows per key (key columns and ``_n``, one row per key) where the caller has them already;
+    else they are counted on ``left``, which reads its key columns once more. They only set the chunk numbers.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if within_broadcast_limit(lookup):
         return left.join(lookup, keys, "left")
 
-    hot = F.broadcast(hot_keys(left if counts_from is None else counts_from, keys, hot_rows))
+    hot = F.broadcast(hot_keys(key_counts(left, keys) if counts is None else counts, keys, hot_rows))
     deal = F.xxhash64(*spread_by)
     no_match = reduce(or_, (F.col(k).isNull() for k in keys))
     slotted = (

@@ -17,6 +17,7 @@ from accountweave.operators.identity import identity_map
 from accountweave.operators.quality import integrity_report
 from accountweave.plans import marts
 from accountweave.schemas import IDENTITY, LANDED_EVENT, landed_crm
+from accountweave.sources.staging import stage
 from accountweave.sources.tables import first_table_or_empty, read_table, write_mart, write_table
 
 # Folder names under which these tables may have been landed.
@@ -53,15 +54,17 @@ def build_silver(spark: SparkSession, bronze: str, silver: str, update_identitie
     def written(name: str) -> DataFrame:
         return read_table(spark, silver, name)
 
+    scratch = f"{silver}/_stage"
     existing = None
     if update_identities:
         known = first_table_or_empty(spark, [f"{silver}/identity"], IDENTITY)
-        write_table(known, silver, "_identity_before")
-        existing = written("_identity_before")
-    identities = identity_map(landed["events"], written("contact"), written("account"), existing)
+        existing = stage(known, "identity_before", scratch)
+    identities = identity_map(
+        landed["events"], written("contact"), written("account"), existing, stage_folder=scratch
+    )
     rows["identity"] = write_table(identities, silver, "identity")
     rows["customer_event"] = write_table(
-        customer_events(landed["events"], written("identity")), silver, "customer_event"
+        customer_events(landed["events"], written("identity"), stage_folder=scratch), silver, "customer_event"
     )
 
     report = integrity_report(

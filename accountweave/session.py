@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,7 @@ def local_session(app: str = "accountweave", cores: int | str = "*", shuffle_par
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -35,12 +37,16 @@ def local_session(app: str = "accountweave", cores: int | str = "*", shuffle_par
     return use_runtime_settings(spark)
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """Folder of this process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="accountweave-")
+
+
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
-    """Folder for the checkpoint of one job, below the shared folder that the cluster names.
+    """Folder for the state of one job, below the shared folder that the cluster names.
 
     Only where ``spark.checkpoint.dir`` is unset (tests, one machine) a temporary folder is taken.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="accountweave-")
-    return f"{shared.rstrip('/')}/{name}"
+    return f"{(shared or _own_folder().name).rstrip('/')}/{name}"

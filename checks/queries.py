@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from accountweave import functions as fn
 from accountweave.operators import catalog, contract, events, identity, quality
-from accountweave.operators.dedup import keep_latest
+from accountweave.operators.joins import key_counts
 from accountweave.plans import marts, serving
 from accountweave.sources import landing
 from accountweave.sources.describe import parse_describes
+from accountweave.sources.staging import stage
 from checks.tables import AS_OF, CUSTOMER, Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,7 +140,7 @@ def silver_sales_rep(t: Tables) -> DataFrame:
 
 
 def _tuples(t: Tables) -> DataFrame:
-    return identity.identity_sources(t.landed_events, t.silver_contacts, t.silver_accounts)
+    return stage(identity.identity_sources(t.landed_events, t.silver_contacts, t.silver_accounts), "tuples")
 
 
 SEEN = ("first_seen_at", "last_seen_at")
@@ -161,7 +162,10 @@ def identity_domain_match(t: Tables) -> DataFrame:
 
 
 def _groups(t: Tables) -> DataFrame:
-    matched = identity.match_domain(identity.match_email(_tuples(t), t.silver_contacts), t.silver_accounts)
+    tuples = _tuples(t)
+    matched = identity.match_domain(
+        identity.match_email(tuples, t.silver_contacts), t.silver_accounts, key_counts(tuples, ["domain"])
+    )
     return identity.resolve_groups(matched)
 
 
@@ -172,7 +176,7 @@ def identity_groups(t: Tables) -> DataFrame:
 
 @query
 def identity_stitch(t: Tables) -> DataFrame:
-    return shown(identity.stitch(_groups(t)), drop=SEEN)
+    return shown(identity.stitch(stage(_groups(t), "groups")), drop=SEEN)
 
 
 @query
@@ -190,7 +194,7 @@ def silver_customer_event(t: Tables) -> DataFrame:
 @query
 def events_json_parse(t: Tables) -> DataFrame:
     who = "identity_resolution"
-    return t.landed_events.select(
+    return t.parsed_events.select(
         "event_id",
         "event_type",
         instant("timestamp").alias("event_time"),
@@ -397,7 +401,7 @@ MESSAGE_TEXT = f"concat(case when event_id % 37 = 0 then '{{\"broken\":' else '{
 
 @query
 def event_contract_violations(t: Tables) -> DataFrame:
-    messages = t.source("events").selectExpr("event_id as message_no", f"{MESSAGE_TEXT} as json_payload")
+    messages = t.spread_source("events").selectExpr("event_id as message_no", f"{MESSAGE_TEXT} as json_payload")
     return contract.with_violations(messages).select(
         "message_no", F.array_join("violations", ",").alias("violations"), F.size("violations").alias("violation_count")
     )
@@ -494,7 +498,7 @@ def priority_distribution(t: Tables) -> DataFrame:
 
 @query
 def event_type_breakdown(t: Tables) -> DataFrame:
-    return serving.count_by(t.landed_events, "event_type", "events")
+    return serving.count_by(t.parsed_events, "event_type", "events")
 
 
 @query

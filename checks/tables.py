@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from accountweave.operators.crm import ACCOUNT, CONTACT, LEAD, OPPORTUNITY, OPPORTUNITY_CONTACT_ROLE, SALES_REP, canonical
 from accountweave.operators.dedup import keep_latest
 from accountweave.session import use_runtime_settings
+from accountweave.sources.staging import stage
 from accountweave.streaming.events import parse_events
 
 AS_OF = "2024-01-31"
@@ -34,6 +35,11 @@ class Tables:
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread_source(self, name: str) -> DataFrame:
+        """The table over all cores, for work that is heavy per row; only a small table in few files is moved."""
+        df, cores = self.source(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     # Typed tables.
 
     @cached_property
@@ -238,7 +244,7 @@ class Tables:
     @cached_property
     def messages(self) -> DataFrame:
         """Three JSON messages per event: an hour older, the same time at a lower offset, and the one that counts."""
-        fields = self.source("events").selectExpr(
+        fields = self.spread_source("events").selectExpr(
             "event_id",
             f"{EVENT_TYPE} as event_type",
             "ts",
@@ -246,30 +252,35 @@ class Tables:
             "cast(floor(value) as int) as seconds",
             "explode(array(0, 1, 2)) as copy",
         )
+        text = {"sfdc_contact_id": "case when event_id % 100 = 57 then cust end",
+                "sfdc_account_id": "case when event_id % 50 = 7 then cust end",
+                "anonymous_id": "case when event_id % 20 <> 0 then concat('anon_', cust) end",
+                "email": "case when event_id % 4 = 0 then concat(' USER', cust, '@d', cust, '.Example.com') end",
+                "domain": """case event_id % 3 when 0 then concat('https://www.D', cust, '.example.com/x')
+                                               when 1 then 'gmail.com' end"""}
+        who = ", ".join(f"""concat('"{name}":"', {value}, '"')""" for name, value in text.items())
         return fields.selectExpr(
-            """case when event_id % 37 = 0 and copy = 1 then '{"event_id": "evt_' else to_json(struct(
-                 concat('evt_', event_id) as event_id,
-                 case copy when 2 then event_type else 'website_visit' end as event_type,
-                 date_format(ts - case copy when 0 then interval 1 hour else interval 0 hour end,
-                             "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") as timestamp,
-                 struct(
-                   case when event_id % 100 = 57 then cast(cust as string) end as sfdc_contact_id,
-                   case when event_id % 50 = 7 then cast(cust as string) end as sfdc_account_id,
-                   case when event_id % 20 <> 0 then concat('anon_', cust) end as anonymous_id,
-                   case when event_id % 4 = 0 then concat(' USER', cust, '@d', cust, '.Example.com') end as email,
-                   case event_id % 3 when 0 then concat('https://www.D', cust, '.example.com/x')
-                                     when 1 then 'gmail.com' end as domain) as identity_resolution,
-                 map('url', concat('https://example.com/', event_id % 10),
-                     'plan_interest', case when event_type = 'pricing_page_view' then 'enterprise' end,
-                     'duration_seconds', cast(seconds * copy as string)) as attributes)) end as json_payload""",
+            f"""case when event_id % 37 = 0 and copy = 1 then '{{"event_id": "evt_' else concat(
+                 '{{"event_id":"evt_', event_id,
+                 '","event_type":"', case copy when 2 then event_type else 'website_visit' end,
+                 '","timestamp":"', cast(ts - case copy when 0 then interval 1 hour else interval 0 hour end as string),
+                 'Z","identity_resolution":{{', concat_ws(',', {who}),
+                 '}},"attributes":{{"url":"https://example.com/', event_id % 10,
+                 '","plan_interest":', case when event_type = 'pricing_page_view' then '"enterprise"' else 'null' end,
+                 ',"duration_seconds":', seconds * copy, '}}}}') end as json_payload""",
             "event_id * 3 + copy as _kafka_offset",
             "cast(event_id % 8 as int) as _kafka_partition",
         )
 
     @cached_property
-    def landed_events(self) -> DataFrame:
+    def parsed_events(self) -> DataFrame:
         return parse_events(self.messages)
 
+    @cached_property
+    def landed_events(self) -> DataFrame:
+        """The parsed messages as a written table, as the stream leaves them."""
+        return stage(self.parsed_events, "landed_events")
+
     # Canonical tables from the landed ones.
 
     @cached_property
