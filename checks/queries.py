@@ -54,8 +54,13 @@ def _intent(t: Tables) -> DataFrame:
     return marts.intent_engagement(t.events)
 
 
-def _priority(t: Tables) -> DataFrame:
-    return marts.sales_prioritization(_c360(t), _intent(t), AS_OF)
+def _priority(t: Tables, c360: DataFrame | None = None) -> DataFrame:
+    return marts.sales_prioritization(_c360(t) if c360 is None else c360, _intent(t), AS_OF)
+
+
+def _identities(t: Tables) -> DataFrame:
+    """The identity map as a written table, for two lookups."""
+    return stage(identity.identity_map(t.landed_events, t.written_contacts, t.written_accounts), "identity")
 
 
 def _performance(t: Tables) -> DataFrame:
@@ -94,9 +99,8 @@ def lead_attribution(t: Tables) -> DataFrame:
 @query
 def customer_360_from_landed(t: Tables) -> DataFrame:
     """Landed CRM copies and JSON messages -> canonical tables -> identities -> events -> mart."""
-    ids = identity.identity_map(t.landed_events, t.silver_contacts, t.silver_accounts)
-    found = events.customer_events(t.landed_events, ids)
-    mart = marts.customer_360(t.silver_accounts, t.silver_contacts, t.silver_opportunities, t.silver_reps, found, AS_OF)
+    found = events.customer_events(t.landed_events, _identities(t))
+    mart = marts.customer_360(t.written_accounts, t.written_contacts, t.silver_opportunities, t.silver_reps, found, AS_OF)
     return shown(mart, instants=["last_activity_at"])
 
 
@@ -140,7 +144,7 @@ def silver_sales_rep(t: Tables) -> DataFrame:
 
 
 def _tuples(t: Tables) -> DataFrame:
-    return stage(identity.identity_sources(t.landed_events, t.silver_contacts, t.silver_accounts), "tuples")
+    return stage(identity.identity_sources(t.landed_events, t.written_contacts, t.written_accounts), "tuples")
 
 
 SEEN = ("first_seen_at", "last_seen_at")
@@ -153,18 +157,18 @@ def identity_sources_union(t: Tables) -> DataFrame:
 
 @query
 def identity_email_match(t: Tables) -> DataFrame:
-    return shown(identity.match_email(_tuples(t), t.silver_contacts), drop=SEEN)
+    return shown(identity.match_email(_tuples(t), t.written_contacts), drop=SEEN)
 
 
 @query
 def identity_domain_match(t: Tables) -> DataFrame:
-    return shown(identity.match_domain(_tuples(t), t.silver_accounts), drop=SEEN)
+    return shown(identity.match_domain(_tuples(t), t.written_accounts), drop=SEEN)
 
 
 def _groups(t: Tables) -> DataFrame:
     tuples = _tuples(t)
     matched = identity.match_domain(
-        identity.match_email(tuples, t.silver_contacts), t.silver_accounts, key_counts(tuples, ["domain"])
+        identity.match_email(tuples, t.written_contacts), t.written_accounts, key_counts(tuples, ["domain"])
     )
     return identity.resolve_groups(matched)
 
@@ -181,14 +185,13 @@ def identity_stitch(t: Tables) -> DataFrame:
 
 @query
 def identity_map(t: Tables) -> DataFrame:
-    found = identity.identity_map(t.landed_events, t.silver_contacts, t.silver_accounts)
+    found = identity.identity_map(t.landed_events, t.written_contacts, t.written_accounts)
     return shown(found, instants=SEEN, drop=["updated_at"])
 
 
 @query
 def silver_customer_event(t: Tables) -> DataFrame:
-    ids = identity.identity_map(t.landed_events, t.silver_contacts, t.silver_accounts)
-    return shown(events.customer_events(t.landed_events, ids), instants=["event_timestamp"], drop=NOW)
+    return shown(events.customer_events(t.landed_events, _identities(t)), instants=["event_timestamp"], drop=NOW)
 
 
 @query
@@ -422,16 +425,18 @@ def orphans_opportunity_owner(t: Tables) -> DataFrame:
 
 @query
 def integrity_report(t: Tables) -> DataFrame:
-    return quality.integrity_report(t.silver_contacts, t.silver_accounts, t.silver_opportunities, t.silver_roles)
+    tables = (t.written_contacts, t.written_accounts, stage(t.silver_opportunities, "opportunity"), stage(t.silver_roles, "role"))
+    return quality.integrity_report(*tables)
 
 
 @query
 def mart_audit(t: Tables) -> DataFrame:
+    c360 = stage(_c360(t), "c360")
     return quality.mart_audit(
         {
-            "customer_360": (_c360(t), "account_id"),
+            "customer_360": (c360, "account_id"),
             "intent_engagement": (_intent(t), "account_id"),
-            "sales_prioritization": (_priority(t), "account_id"),
+            "sales_prioritization": (_priority(t, c360), "account_id"),
             "sales_performance": (_performance(t), "sales_rep_id"),
             "lead_attribution": (_attribution(t), "lead_id"),
         }
@@ -488,7 +493,8 @@ def account_intent_lookup(t: Tables) -> DataFrame:
 
 @query
 def executive_kpis(t: Tables) -> DataFrame:
-    return serving.executive_kpis(_c360(t), _priority(t))
+    c360 = stage(_c360(t), "c360")
+    return serving.executive_kpis(c360, _priority(t, c360))
 
 
 @query

@@ -291,6 +291,16 @@ class Tables:
     def silver_contacts(self) -> DataFrame:
         return canonical(CONTACT, self.landed_contacts)
 
+    # The same as written tables, for queries that read them more than once.
+
+    @cached_property
+    def written_accounts(self) -> DataFrame:
+        return stage(self.silver_accounts, "account")
+
+    @cached_property
+    def written_contacts(self) -> DataFrame:
+        return stage(self.silver_contacts, "contact")
+
     @cached_property
     def silver_leads(self) -> DataFrame:
         return canonical(LEAD, self.landed_leads)
