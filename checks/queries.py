@@ -425,8 +425,13 @@ def orphans_opportunity_owner(t: Tables) -> DataFrame:
 
 @query
 def integrity_report(t: Tables) -> DataFrame:
-    tables = (t.written_contacts, t.written_accounts, stage(t.silver_opportunities, "opportunity"), stage(t.silver_roles, "role"))
-    return quality.integrity_report(*tables)
+    links = {
+        "contact": t.silver_contacts.select("contact_id", "account_id"),
+        "account": t.silver_accounts.select("account_id"),
+        "opportunity": t.silver_opportunities.select("opportunity_id", "account_id"),
+        "role": t.silver_roles.select("opportunity_id", "contact_id"),
+    }
+    return quality.integrity_report(*(stage(df, name) for name, df in links.items()))
 
 
 @query

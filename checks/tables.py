@@ -84,7 +84,7 @@ class Tables:
 
     @cached_property
     def lead_copies(self) -> DataFrame:
-        return self.source("lineitem").selectExpr(
+        return self.spread_source("lineitem").selectExpr(
             "concat('led_', l_orderkey, '-', l_linenumber) as lead_id",
             "case l_returnflag when 'R' then 'Web' when 'A' then 'Partner' end as lead_source",
             "l_linestatus as status",
@@ -187,7 +187,7 @@ class Tables:
 
     @cached_property
     def landed_leads(self) -> DataFrame:
-        return self.source("lineitem").selectExpr(
+        return self.spread_source("lineitem").selectExpr(
             "concat(l_orderkey, '-', l_linenumber) as Id",
             "concat('F', l_suppkey, ' ') as FirstName",
             "concat(' L', l_partkey) as LastName",
@@ -208,7 +208,7 @@ class Tables:
 
     @cached_property
     def landed_opportunities(self) -> DataFrame:
-        now = self.source("orders").selectExpr(
+        now = self.spread_source("orders").selectExpr(
             "cast(o_orderkey as string) as Id",
             "case when o_orderkey % 31 <> 0 then cast(o_custkey as string) end as AccountId",
             "concat(' Deal ', o_orderkey) as Name",
@@ -230,7 +230,7 @@ class Tables:
 
     @cached_property
     def landed_roles(self) -> DataFrame:
-        return self.source("lineitem").selectExpr(
+        return self.spread_source("lineitem").selectExpr(
             "concat(l_orderkey, '-', l_linenumber) as Id",
             "case when l_linenumber <> 7 then cast(l_orderkey + l_partkey % 2 * 1000000 as string) end as OpportunityId",
             "case when l_partkey % 29 <> 0 then cast(l_partkey as string) end as ContactId",
