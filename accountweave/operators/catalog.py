@@ -53,7 +53,7 @@ def field_inventory(described: DataFrame, selected: DataFrame) -> DataFrame:
     )
     related = (
         selected.where(F.col("field_type") != "Direct")
-        .join(described.select("object_name"), "object_name", "left_semi")
+        .join(described.select("object_name").distinct(), "object_name", "left_semi")
         .select(
             "object_name",
             "field_name",

@@ -1,6 +1,7 @@
 import pytest
 
 from accountweave.operators.quality import integrity_report
+from accountweave.plans import marts, serving
 from accountweave.plans.runs import build_gold, build_silver
 from accountweave.sources.landing import MarkLog, land_all
 from checks.queries import QUERIES
@@ -81,6 +82,22 @@ def test_daily_counts_add_up_to_the_resolved_events(spark, lake):
     assert total == table(spark, silver, "customer_event").where("account_id is not null").count()
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_trailing_window_prunes_partitions_and_served_filters_reach_the_scan(spark, lake):
+    gold = lake[1]
+    recent = plan_of(marts.recent_intent(table(spark, gold, "intent_engagement"), AS_OF))
+    assert "PartitionFilters: [isnotnull(event_date" in recent and "2024-01-17" in recent
+    assert "ReadSchema: struct<account_id:string,engagement_score:bigint,intent_score:bigint>" in recent
+
+    one = plan_of(serving.customer(table(spark, gold, "customer_360"), "acc_1"))
+    assert "EqualTo(account_id,acc_1)" in one and "gold_processed_at" not in one
+    best = plan_of(serving.priorities(table(spark, gold, "sales_prioritization"), sales_rep_id="srep_1"))
+    assert "EqualTo(sales_rep_id,srep_1)" in best and "TakeOrderedAndProject" in best
+
+
 def test_report_is_written(spark, lake):
     silver = lake[0]
     report = {r.rule: r.orphan_rows for r in table(spark, silver, "integrity_report").collect()}
