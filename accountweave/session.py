@@ -32,6 +32,8 @@ def local_session(app: str = "accountweave", cores: int | str = "*", shuffle_par
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small shuffles on one machine: rather all cores than few full partitions.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
     return use_runtime_settings(spark)
