@@ -18,6 +18,7 @@ RUNTIME_SETTINGS = {
 
 
 def use_runtime_settings(spark: SparkSession) -> SparkSession:
+    """Settings for a session that this library makes; a submitted session keeps its own."""
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
     return spark
@@ -46,9 +47,21 @@ def _own_folder() -> tempfile.TemporaryDirectory:
 
 
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
-    """Folder for the state of one job, below the shared folder that the cluster names.
+    """Folder for intermediate tables of this application, below the shared folder that the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, one machine) a temporary folder is taken.
+    Where ``spark.checkpoint.dir`` is unset, a session on one machine (tests) takes a folder of its own process. On a
+    cluster that would be a different disk on each executor, so there it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(shared or _own_folder().name).rstrip('/')}/{name}"
+    if not shared:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _own_folder().name
+    return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{name}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all that this application has staged; results that still read from it must have been written before."""
+    spark.catalog.clearCache()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_folder(spark, "staged"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

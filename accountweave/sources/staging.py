@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from accountweave.session import checkpoint_folder
 
 
-def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None, **options: str) -> DataFrame:
     """Write ``df`` and return the written table.
 
     With ``folder`` the table has a fixed place there, which the next run overwrites. Without, it gets a new place
-    below the shared checkpoint folder of the cluster.
+    below the shared checkpoint folder of the cluster, which ``drop_staged`` removes. ``options`` go to the writer.
     """
     path = f"{folder}/{name}" if folder else checkpoint_folder(df.sparkSession, f"staged/{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
