@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountweave.llm import rotated_codes, token_files, warc
+from accountweave.llm import line_chunks, order_minhash, repeated_bytes, rotated_codes, templates, token_files, warc
+from accountweave.llm.common import ROW
 from accountweave.session import checkpoint_folder
 
 
@@ -21,6 +22,11 @@ def _files(spark: SparkSession, name: str) -> str:
     return checkpoint_folder(spark, f"staged/{name}-{uuid.uuid4().hex}")
 
 
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeated_bytes.remove_repeats(_table(spark, sf_dir, "documents"), length=400, keep="none")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _files(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -39,10 +45,30 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(token_files.read_ids(spark, path, ids=False))
 
 
+def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = templates.flag(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    items = F.transform("items", lambda i: i.cast("long"))
+    return out.select(F.col(f"{ROW}.doc_id").alias("doc_id"), (F.col("n_items") > 0).alias("contaminated"), "n_items", F.round("cover", 4).alias("cover"), F.array_sort(items).alias("item_ids"))
+
+
+def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_chunks.dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select(F.col(f"{ROW}.doc_id").alias("doc_id"), "n_lines", "n_removed", "n_chunks", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = order_minhash.groups(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("own").alias("doc_id"), "class_id", "class_size")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_bytes": op1_repeated_bytes,
     "op2_warc_revisits": op2_warc_revisits,
     "op3_nearest_vectors": op3_nearest_vectors,
     "op6_token_files": op6_token_files,
+    "op7_template_leaks": op7_template_leaks,
+    "op9_line_chunks": op9_line_chunks,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 SQL: dict[str, str] = {
