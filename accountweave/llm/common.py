@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountweave.sources.staging import stage
 
-__all__ = ["KEY", "ROW", "TEXT", "keyed", "row_key", "stage", "text_of", "unwrap"]
+__all__ = ["KEY", "ROW", "bit_field", "hits", "keyed", "maybe_in", "row_key", "stage", "text_of"]
 
 #: Working columns. Rows of the caller travel as one struct, so its own columns can have any name.
-KEY, ROW, TEXT = "__aw_key", "__aw_row", "__aw_text"
+KEY, ROW = "__aw_key", "__aw_row"
+#: Bits of a bit field, as a power of two: 2 MB, whatever it is filled from.
+FIELD_BITS = 24
 
 
 def text_of(name: str = "text") -> Column:
@@ -33,5 +39,34 @@ def keyed(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     return df.select(row_key(id_column, text_column).alias(KEY), F.struct("*").alias(ROW))
 
 
-def unwrap(df: DataFrame) -> DataFrame:
-    return df.select(f"{ROW}.*")
+def bit_field(hashes: DataFrame) -> bytes:
+    """A bit set for each 64-bit hash in the only column of ``hashes``.
+
+    It drops rows that can't match before they are shuffled, and never one that can. Its size is fixed, so it may be
+    broadcast; filled from very many hashes it only drops less. Bits are combined by word before they reach the driver.
+    """
+    hashes = hashes.toDF("h")
+    shift = 64 - FIELD_BITS
+    word = F.expr(f"shiftrightunsigned(h, {shift + 6})").alias("w")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(shiftrightunsigned(h, {shift}), 64) as int))").alias("b")
+    words = hashes.select(word, bit).groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    field = np.zeros(1 << (FIELD_BITS - 6), np.int64)
+    field[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    return field.tobytes()
+
+
+def hits(field: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    at = hashes.view(np.uint64) >> np.uint64(64 - FIELD_BITS)
+    return (np.frombuffer(field, np.uint8)[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def maybe_in(hashes: DataFrame) -> Callable[[Column], Column]:
+    """A condition on a column of 64-bit hashes: false only where the hash is not among ``hashes``."""
+    shared = hashes.sparkSession.sparkContext.broadcast(bit_field(hashes))
+
+    @F.pandas_udf("boolean")
+    def check(h: pd.Series) -> pd.Series:
+        return pd.Series(hits(shared.value, h.to_numpy(np.int64)))
+
+    return check

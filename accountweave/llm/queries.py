@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountweave.llm import line_chunks, order_minhash, repeated_bytes, rotated_codes, templates, token_files, warc
+from accountweave.llm import chunk_bpe, line_chunks, order_minhash, repeated_bytes, rotated_codes, templates, token_files, warc
 from accountweave.llm.common import ROW
 from accountweave.session import checkpoint_folder
 
@@ -51,6 +51,10 @@ def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col(f"{ROW}.doc_id").alias("doc_id"), (F.col("n_items") > 0).alias("contaminated"), "n_items", F.round("cover", 4).alias("cover"), F.array_sort(items).alias("item_ids"))
 
 
+def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.round_trip(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_chunks.dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select(F.col(f"{ROW}.doc_id").alias("doc_id"), "n_lines", "n_removed", "n_chunks", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest_vectors": op3_nearest_vectors,
     "op6_token_files": op6_token_files,
     "op7_template_leaks": op7_template_leaks,
+    "op8_chunk_bpe": op8_chunk_bpe,
     "op9_line_chunks": op9_line_chunks,
     "op10_order_minhash": op10_order_minhash,
 }

@@ -24,11 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountweave.llm.common import KEY, ROW, keyed, row_key, stage, text_of
+from accountweave.llm.common import KEY, ROW, bit_field, hits, keyed, row_key, stage, text_of
 
 WINDOW = 5
 MIN_COVER = 0.5
-FIELD_BITS = 24
 #: Units that count as such after a number.
 UNITS = frozenset(
     """% $ € £ ° mm cm m km in inch inches ft foot feet yd mi mile miles mg g kg t oz lb lbs ton tons ml cl l litre litres liter liters
@@ -83,21 +82,16 @@ def windows(words: list[str]) -> np.ndarray:
 _WINDOWS = "id binary, size int, h long, pos int, v0 string, v1 string, v2 string, v3 string, v4 string"
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return h.view(np.uint64) >> np.uint64(64 - FIELD_BITS)
-
-
 def _window_rows(rows: DataFrame, field=None) -> DataFrame:
     """A row per window (of those whose bit is set in ``field``) with its slot values; ``rows``: ``id, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if field is None else np.unpackbits(np.frombuffer(field.value, np.uint8), bitorder="little").view(bool)
         for batch in batches:
             ids, sizes, hs, at, slots = [], [], [], [], [[] for _ in range(WINDOW)]
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words, values = template(text)
                 h = windows(words)
-                own = np.arange(len(h)) if bits is None else np.flatnonzero(bits[_bit(h)])
+                own = np.arange(len(h)) if field is None else np.flatnonzero(hits(field.value, h))
                 if len(own):
                     ids += [key] * len(own)
                     sizes += [len(h)] * len(own)
@@ -114,16 +108,6 @@ def _window_rows(rows: DataFrame, field=None) -> DataFrame:
     return rows.mapInArrow(run, _WINDOWS)
 
 
-def _field(items: DataFrame) -> bytes:
-    """The bit field of all benchmark windows: combined by word before the shuffle, at most 2 MB at the driver."""
-    word = F.shiftrightunsigned("h", 64 - FIELD_BITS)
-    words = items.select(F.shiftright(word, 6).alias("w"), F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(h, %d), 64) as int))" % (64 - FIELD_BITS)).alias("b"))
-    bits = np.zeros(1 << (FIELD_BITS - 6), np.int64)
-    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
-        bits[r.w] = r.b
-    return bits.tobytes()
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_cover: float = MIN_COVER) -> DataFrame:
     """``KEY, item, cover, same``: items found in a row, the share of their windows, and whether all slots are equal.
 
@@ -133,7 +117,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     spark = docs.sparkSession
     of_items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).cast("binary").alias("id"), text_of().alias("text"))
     items = stage(_window_rows(of_items.distinct()), "item-windows")
-    field = spark.sparkContext.broadcast(_field(items))
+    field = spark.sparkContext.broadcast(bit_field(items.select("h")))
     slots = [f"v{i}" for i in range(WINDOW)]
     own = _window_rows(docs.select(row_key(id_column, text_column).alias("id"), text_of(text_column).alias("text")), field)
     own = own.select(F.col("id").alias(KEY), "h", F.col("pos").alias("at"), *(F.col(v).alias(f"d{v}") for v in slots))

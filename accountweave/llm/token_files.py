@@ -56,7 +56,7 @@ def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int, id_column: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end, seq = encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
-        wide = coder.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
+        wide = coder.wide
         for batch in batches:
             ids = [coder.encode(t) + end for t in batch.column("text").to_pylist()]
             ids = ids if wide else [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
@@ -103,7 +103,7 @@ def write_ids(
     """
     spark = docs.sparkSession
     vocabulary = vocabulary or vocabulary_path()
-    width = 4 if encoder(vocabulary).tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16 else 2
+    width = 4 if encoder(vocabulary).wide else 2
     encoded = stage(encode_sorted(docs, vocabulary, end_id, id_column, text_column), "token-ids", compression="zstd")
     counted = id_counts(encoded, width).orderBy(F.desc("n"), "id").collect()
     spark.createDataFrame([(rank, r.id, r.n) for rank, r in enumerate(counted)], "rank long, id long, n long").coalesce(1).write.parquet(

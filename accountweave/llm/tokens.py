@@ -36,6 +36,8 @@ class SegmentEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        #: Whether ids need more than 16 bits.
+        self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.known: dict[str, bytes] = {}  # segments after a space
         self.first: dict[str, bytes] = {}  # segments that open a text
 
