@@ -8,8 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountweave.llm import chunk_bpe, line_chunks, order_minhash, repeated_bytes, rotated_codes, templates, token_files, warc
+from accountweave.llm import (
+    chunk_bpe,
+    discriminant,
+    line_chunks,
+    order_minhash,
+    repeated_bytes,
+    rotated_codes,
+    templates,
+    token_files,
+    warc,
+    weak_toxicity,
+)
 from accountweave.llm.common import ROW
+from accountweave.llm.labels import fold
 from accountweave.session import checkpoint_folder
 
 
@@ -39,6 +51,21 @@ def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated_codes.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = weak_toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    held_out = (fold("doc_id", weak_toxicity.FOLDS) == weak_toxicity.HELD_OUT).alias("held_out")
+    out = docs.select("doc_id", held_out, weak_toxicity.scorer(docs, model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= weak_toxicity.THRESHOLD).cast("int"))
+
+
+def op5_discriminant_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = discriminant.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    held_out = (fold("id", discriminant.FOLDS) == discriminant.HELD_OUT).alias("held_out")
+    predicted = (F.col("score") >= discriminant.THRESHOLD).cast("int").alias("predicted")
+    return out.select(F.col("id").alias("doc_id"), held_out, "score", predicted)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _files(spark, "token-files")
     token_files.write_ids(_table(spark, sf_dir, "documents"), path)
@@ -69,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_warc_revisits": op2_warc_revisits,
     "op3_nearest_vectors": op3_nearest_vectors,
+    "op4_weak_toxicity": op4_weak_toxicity,
+    "op5_discriminant_quality": op5_discriminant_quality,
     "op6_token_files": op6_token_files,
     "op7_template_leaks": op7_template_leaks,
     "op8_chunk_bpe": op8_chunk_bpe,
