@@ -180,35 +180,39 @@ def encode_shared(docs: DataFrame, vocabulary: str | None = None, id_column: str
     return holds.groupBy(KEY).agg(F.collect_list(F.struct("h", "ids")).alias("shared"))
 
 
-def encode(docs: DataFrame, vocabulary: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, ids`` (little-endian unsigned 32-bit) of every whole text."""
-    return _encoded(docs, vocabulary or vocabulary_path(), id_column, text_column, lambda ids, _: (ids,), "ids binary", (pa.binary(),))
-
-
-def _encoded(docs: DataFrame, vocabulary: str, id_column: str, text_column: str, finish, fields: str, kinds: tuple) -> DataFrame:
-    own = F.col(id_column).alias("id")
-    rows = docs.select(row_key(id_column, text_column).alias(KEY), text_of(text_column).alias("text"), own)
-    kind = rows.schema["id"].dataType.simpleString()
-    names = ["id", *(f.split()[0] for f in fields.split(", "))]
+def _encoded(rows: DataFrame, shared: DataFrame, vocabulary: str, finish, fields: str, kinds: tuple) -> DataFrame:
+    """``rows`` (``KEY``, ``text``, ``own``) as ``own`` and what ``finish`` makes of the ids of each."""
+    kind = rows.schema["own"].dataType.simpleString()
+    names = ["own", *(f.split()[0] for f in fields.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:
-            out = []
-            for text, shared in zip(batch.column("text").to_pylist(), batch.column("shared").to_pylist(), strict=True):
-                data = text.encode()
-                known = {x["h"]: _wide(x["ids"], coder.wide) for x in shared or ()}
-                ids = joined(coder, text, data, known, pieces(data)) if known else coder.encode(text)
-                out.append(finish(ids, vocabulary))
-            if out:
-                yield pa.record_batch([batch.column("id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True))], names=names)
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
+                out = []
+                for text, shared in zip(part.column("text").to_pylist(), part.column("shared").to_pylist(), strict=True):
+                    data = text.encode()
+                    known = {x["h"]: _wide(x["ids"], coder.wide) for x in shared or ()}
+                    ids = joined(coder, text, data, known, pieces(data)) if known else coder.encode(text)
+                    out.append(finish(ids, vocabulary))
+                yield pa.record_batch([part.column("own"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True))], names=names)
 
-    shared = stage(encode_shared(docs, vocabulary, id_column, text_column), "shared-ids", compression="zstd")
     some = maybe_in(shared.select(F.xxhash64(KEY)))(F.xxhash64(KEY))
-    with_shared = rows.where(some).join(shared, KEY, "left").select("id", "text", "shared")
+    with_shared = rows.where(some).join(shared, KEY, "left").select("own", "text", "shared")
     none = F.lit(None).cast(with_shared.schema["shared"].dataType).alias("shared")
-    every = rows.where(~some).select("id", "text", none).unionByName(with_shared)
-    return every.mapInArrow(run, f"id {kind}, {fields}")
+    every = rows.where(~some).select("own", "text", none).unionByName(with_shared)
+    return every.mapInArrow(run, f"own {kind}, {fields}")
+
+
+def with_ids(docs: DataFrame, vocabulary: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``token_ids`` (little-endian unsigned 32-bit) of every whole text."""
+    vocabulary = vocabulary or vocabulary_path()
+    shared = stage(encode_shared(docs, vocabulary, id_column, text_column), "shared-ids", compression="zstd")
+    rows = docs.select(row_key(id_column, text_column).alias(KEY), text_of(text_column).alias("text"), F.struct("*").alias("own"))
+    fields, kinds = "n_tokens long, token_ids binary", (pa.int64(), pa.binary())
+    out = _encoded(rows, shared, vocabulary, lambda ids, _: (len(ids) // 4, ids), fields, kinds)
+    return out.select("own.*", "n_tokens", "token_ids")
 
 
 _SHOWN: dict[str, list[str]] = {}
@@ -230,5 +234,8 @@ def digests(ids: bytes, vocabulary: str) -> tuple[int, str, str]:
 
 def round_trip(docs: DataFrame, vocabulary: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` of every whole text."""
-    kinds = (pa.int64(), pa.string(), pa.string())
-    return _encoded(docs, vocabulary or vocabulary_path(), id_column, text_column, digests, "n_tokens long, ids_sha256 string, decoded_sha256 string", kinds)
+    vocabulary = vocabulary or vocabulary_path()
+    shared = stage(encode_shared(docs, vocabulary, id_column, text_column), "shared-ids", compression="zstd")
+    rows = docs.select(row_key(id_column, text_column).alias(KEY), text_of(text_column).alias("text"), F.col(id_column).alias("own"))
+    fields, kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string", (pa.int64(), pa.string(), pa.string())
+    return _encoded(rows, shared, vocabulary, digests, fields, kinds).withColumnRenamed("own", "id")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountweave.sources.staging import stage
 
-__all__ = ["KEY", "ROW", "bit_field", "hits", "keyed", "maybe_in", "row_key", "stage", "text_of"]
+__all__ = ["KEY", "ROW", "bit_field", "hits", "keyed", "maybe_in", "row_key", "ship", "stage", "text_of"]
 
 #: Working columns. Rows of the caller travel as one struct, so its own columns can have any name.
 KEY, ROW = "__aw_key", "__aw_row"
@@ -19,6 +22,24 @@ KEY, ROW = "__aw_key", "__aw_row"
 FIELD_BITS = 24
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this library, once per application: they need not have it installed."""
+    name = spark.sparkContext.applicationId
+    if name not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(package)}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, files in os.walk(package):
+                for f in files:
+                    if f.endswith(".py"):
+                        z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(package)))
+        spark.sparkContext.addPyFile(path)
+        _shipped.add(name)
+
+
 def text_of(name: str = "text") -> Column:
     """A null text counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

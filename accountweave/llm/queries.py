@@ -20,12 +20,13 @@ from accountweave.llm import (
     warc,
     weak_toxicity,
 )
-from accountweave.llm.common import ROW
+from accountweave.llm.common import ROW, ship
 from accountweave.llm.labels import fold
 from accountweave.session import checkpoint_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
