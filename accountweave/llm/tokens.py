@@ -4,15 +4,27 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import cache
 
-import numpy as np
-
 SPECIAL = "<|endoftext|>"
 #: Segments that one worker remembers; beyond that it starts afresh. Only speed depends on it.
 MEMORY = 300_000
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+#: A word, its points, perhaps a line end and the next line's first word: pieces that the pattern keeps apart.
+_PLAIN = re.compile(rf"( ?{_LETTERS})([.,;:!?]*)(?:(\n)({_LETTERS})([.,;:!?]*))?").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next free one."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTER_OF = _byte_letters()
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -36,13 +48,35 @@ class SegmentEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         #: Whether ids need more than 16 bits.
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.known: dict[str, bytes] = {}  # segments after a space
         self.first: dict[str, bytes] = {}  # segments that open a text
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """By the library; plain words piece by piece, so that a word is encoded once whatever points follow it."""
+        plain = _PLAIN(text)
+        if plain and any(plain.groups()[1:]):
+            return b"".join([self._piece(p) for p in plain.groups() if p])
+        if plain:
+            ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_LETTER_OF))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        memory, word = (self.known, piece[1:]) if piece[0] == " " else (self.first, piece)
+        ids = memory.get(word)
+        if ids is None:
+            ids = self._encode(piece) if piece.strip() and piece[-1].isalpha() else self._whole(piece)
+            if len(word) < 64:
+                memory[word] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -77,9 +111,7 @@ def encoder(path: str) -> SegmentEncoder:
 def token_bytes(path: str) -> list[bytes]:
     """The bytes of each id, in order of ids."""
     tokenizer = encoder(path).tokenizer
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shown = {chr(b): b for b in printable}
-    shown |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
+    shown = {letter: b for b, letter in _LETTER_OF.items()}
     size = tokenizer.get_vocab_size(with_added_tokens=True)
     table = []
     for i in range(size):
