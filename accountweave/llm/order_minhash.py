@@ -12,8 +12,8 @@ threshold shares a bucket with a chance of 0.999, pairs above it more.
 Equal texts are one class from the start: the class has one representative, so a group of copies of any size is one row.
 In a bucket each representative is compared with the first one, and in buckets of up to ``SMALL`` rows all with all;
 that is linear in the rows. Larger buckets that still hold several components are refined: their rows are dealt into the
-buckets of every two bands that they share, and compared in the same way there, each round with another row as the
-first, until a round brings no new link. Pairs that reach the threshold share several buckets, so what a large bucket
+buckets of every two bands that they share, and compared with some others of other components there, with other ones each
+round, until a round brings no new link. Pairs that reach the threshold share several buckets, so what a large bucket
 can't show is seen in a smaller one.
 
 Defined cases: null texts are empty; texts of fewer than five words have one shingle, all their words; texts
@@ -23,7 +23,9 @@ without any word are copies of each other only if they are equal; rows with equa
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,28 @@ from accountweave.llm.components import components
 SHINGLE, THRESHOLD = 5, 0.8
 ELL, ROWS, BANDS = 2, 2, 32
 SMALL = 8
+#: Orders that set the first row of a bucket.
+CENTRES = 4
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+_known: dict[str, int] = {}
+
+
 def word_ids(text: str) -> np.ndarray:
-    """64-bit hashes of the lower-case words."""
-    known: dict[str, int] = {}
-    return np.array([known.get(w) or known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in _WORD.findall(text.lower())], np.uint64)
+    """64-bit hashes of the lower-case words; a worker remembers those of frequent words."""
+    words = _WORD.findall(text.lower())
+    if len(_known) > 300_000:
+        _known.clear()
+    out = [*map(_known.get, words)]
+    if None in out:
+        for i, h in enumerate(out):
+            if h is None:
+                w = words[i]
+                h = _known.get(w)
+                out[i] = _known.setdefault(w, xxhash.xxh3_64_intdigest(w)) if h is None else h
+    return np.array(out, np.uint64)
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -73,35 +89,36 @@ def labelled(h: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * _MIX
 
 
-def _seeds(n: int) -> np.ndarray:
-    return np.random.default_rng(29).integers(1, 1 << 63, n, np.uint64) | np.uint64(1)
+@cache
+def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
+    own = np.random.default_rng(29).integers(1, 1 << 63, n, np.uint64) | np.uint64(1)
+    return (own >> np.uint64(32)).astype(np.uint32)[:, None], own.astype(np.uint32)[:, None]
 
 
 def buckets(text: str, bands: int = BANDS, rows: int = ROWS, ell: int = ELL) -> np.ndarray:
-    """One 64-bit key per band."""
+    """One 64-bit key per band. All sketches of a text are drawn at once, piece by piece for a long one."""
     x = labelled(shingles(word_ids(text)))
-    sketches = np.empty(bands * rows, np.uint64)
-    top = (x >> np.uint64(32)).astype(np.uint32)
-    low = x.astype(np.uint32)
-    for i, seed in enumerate(_seeds(bands * rows)):
-        # A 32-bit hash of the pair of halves under this seed, and the position to break ties by text order.
-        v = (top ^ np.uint32(seed >> np.uint64(32))) * np.uint32(seed | np.uint64(1))
-        v ^= (v >> np.uint32(15)) ^ low
+    high, low = (x >> np.uint64(32)).astype(np.uint32), x.astype(np.uint32)
+    turn, factor = _seeds(bands * rows)
+    every = np.arange(bands * rows)
+    best = []
+    for at in range(0, len(x), 1 << 13):
+        # A 32-bit hash per sketch of both halves of a labelled shingle; equal values go by text order.
+        v = high[at : at + (1 << 13)] ^ turn
+        v *= factor
+        v ^= v >> np.uint32(15)
+        v ^= low[at : at + (1 << 13)]
         v *= np.uint32(0x85EBCA6B)
-        if ell < len(v):
-            chosen = []
-            for _ in range(ell):
-                at = int(v.argmin())
-                chosen.append(at)
-                v[at] = 0xFFFFFFFF
-            chosen.sort()
-        else:
-            chosen = range(len(v))
-        key = np.uint64(i // rows + 1)
-        acc = int(key)
-        for at in chosen:
-            acc = (acc * 0x100000001B3 ^ int(x[at])) & 0xFFFFFFFFFFFFFFFF
-        sketches[i] = acc
+        for _ in range(min(ell, v.shape[1])):
+            least = v.argmin(1)
+            best.append((v[every, least].copy(), least + at))
+            v[every, least] = 0xFFFFFFFF
+    values, where = np.stack([b[0] for b in best], 1), np.stack([b[1] for b in best], 1)
+    chosen = np.take_along_axis(where, np.argsort(values, axis=1, kind="stable")[:, :ell], 1)
+    chosen.sort(axis=1)
+    sketches = (every // rows + 1).astype(np.uint64)
+    for i in range(chosen.shape[1]):
+        sketches = (sketches ^ (sketches >> np.uint64(30))) * np.uint64(0x100000001B3) + x[chosen[:, i]]
     keys = np.zeros(bands, np.uint64)
     for r in range(rows):
         keys = (keys ^ (keys >> np.uint64(27))) * np.uint64(0x94D049BB133111EB) + sketches[r::rows]
@@ -120,9 +137,13 @@ def distances_within(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarra
     while len(todo):
         again = []
         todo = todo[np.argsort([len(pairs[i][0]) for i in todo], kind="stable")]
-        step = max(1, min(512, 2_000_000 // (2 * half + 1) // max(1, len(pairs[todo[-1]][0]) // 64)))
-        for at in range(0, len(todo), step):
-            part = todo[at : at + step]
+        sizes = np.array([len(pairs[i][0]) for i in todo])
+        at = 0
+        while at < len(todo):
+            # Pairs of like length together, as many as fit in a few MB.
+            step = max(1, min(512, 1_000_000 // (2 * half + 1)))
+            part = todo[at : at + min(step, max(1, int(np.searchsorted(sizes[at:], sizes[at] * 1.25 + 16, side="right"))))]
+            at += len(part)
             d = _banded([pairs[i] for i in part], half)
             out[part] = d <= np.minimum(most[part], half)
             again += [i for i, x in zip(part, d, strict=True) if x > half and most[i] > half]
@@ -165,35 +186,67 @@ def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], half: int) -> np.ndarray
     return result
 
 
+def chain(at: list[int]) -> list[int]:
+    """Indices of a longest increasing run of ``at``, in order."""
+    tails: list[int] = []
+    ends: list[int] = []
+    before = [-1] * len(at)
+    for i, v in enumerate(at):
+        k = bisect_left(tails, v)
+        if k:
+            before[i] = ends[k - 1]
+        if k == len(tails):
+            tails.append(v)
+            ends.append(i)
+        else:
+            tails[k] = v
+            ends[k] = i
+    out, i = [], ends[-1] if ends else -1
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return out[::-1]
+
+
+def bounds(lx: np.ndarray, ly: np.ndarray, most: int) -> tuple[int, int]:
+    """Least and greatest possible edit distance of two sequences of labelled shingles; the first alone if over ``most``.
+
+    Equal labelled shingles that stand in the same order align; between two of them the longer gap is an upper bound.
+    Labels are unique, so the chain is a longest one, and where no shingle repeats no alignment matches more.
+    """
+    longer = max(len(lx), len(ly))
+    _, ix, iy = np.intersect1d(lx, ly, assume_unique=True, return_indices=True)
+    if longer - len(ix) > most:
+        return longer - len(ix), longer
+    order = np.argsort(ix)
+    ix, iy = ix[order], iy[order]
+    kept = chain(iy.tolist())
+    gx = np.diff(np.r_[-1, ix[kept], len(lx)]) - 1
+    gy = np.diff(np.r_[-1, iy[kept], len(ly)]) - 1
+    return longer - len(kept), int(np.maximum(gx, gy).sum())
+
+
 def verify(a: list[str], b: list[str], threshold: float = THRESHOLD) -> np.ndarray:
-    """Whether each pair of texts is at least ``threshold`` similar. Cheap bounds come first, both of them sound."""
-    cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    """Whether each pair of texts is at least ``threshold`` similar; aligned where bounds leave it open."""
+    cache: dict[str, tuple[np.ndarray, np.ndarray, bool]] = {}
 
-    def of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    def of(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
         if text not in cache:
             s = shingles(word_ids(text))
-            cache[text] = s.view(np.int64), np.sort(labelled(s))
+            cache[text] = s.view(np.int64), labelled(s), len(np.unique(s)) == len(s)
         return cache[text]
 
     same, rest, allowed, where = np.zeros(len(a), bool), [], [], []
     for i, (s, t) in enumerate(zip(a, b, strict=True)):
-        (x, lx), (y, ly) = of(s), of(t)
+        (x, lx, once), (y, ly, once_too) = of(s), of(t)
         longer = max(len(x), len(y))
         most = int(longer * (1 - threshold) + 1e-9)
-        common = len(np.intersect1d(lx, ly, assume_unique=True))
-        if longer - common > most:
+        if abs(len(x) - len(y)) > most:
             continue
-        shorter = min(len(x), len(y))
-        differ = np.flatnonzero(x[:shorter] != y[:shorter])
-        front = int(differ[0]) if len(differ) else shorter
-        x, y = x[front:], y[front:]
-        shorter = min(len(x), len(y))
-        differ = np.flatnonzero(x[len(x) - shorter :][::-1] != y[len(y) - shorter :][::-1])
-        back = int(differ[0]) if len(differ) else shorter
-        x, y = x[: len(x) - back], y[: len(y) - back]
-        if max(len(x), len(y)) <= most:
+        low, high = bounds(lx, ly, most)
+        if high <= most:
             same[i] = True
-        elif abs(len(x) - len(y)) <= most:
+        elif low <= most or not (once and once_too) and longer - len(np.intersect1d(lx, ly, assume_unique=True)) <= most:
             rest.append((x, y))
             allowed.append(most)
             where.append(i)
@@ -244,42 +297,54 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
     heads = copies.groupBy("cls").agg(F.min(KEY).alias(KEY))
     heads = stage(heads.join(shared.select("cls").distinct(), "cls", "left_semi"), "heads")
     texts = stage(rows.select(KEY, "text").join(heads, KEY).dropDuplicates(["cls"]).select("cls", "text"), "candidates", compression="zstd")
-    links = stage(_verified(_pairs(shared, 0), texts, threshold), "links")
-    found = components(links)
-    refined, turn = _refined(shared, found), 1
+    links = stage(_verified(_pairs(shared), texts, threshold), "links")
+    found = stage(components(links), "components")
+    refined, turn = _refined(shared, found), 0
     while True:
-        open_ = _unsettled(refined, found)
-        fresh = stage(_verified(_pairs(open_, turn).join(links, ["a", "b"], "left_anti"), texts, threshold), "links")
+        fresh = stage(_verified(_across(refined, found, turn), texts, threshold), "links")
         if fresh.isEmpty():
             break
-        links = stage(links.unionByName(fresh), "links")
-        found, turn = components(links), turn + 1
+        links = links.unionByName(fresh)
+        found, turn = stage(components(links), "components"), turn + 1
     named = copies.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
     return named.select(KEY, "own", F.coalesce("component", "cls").alias("cls"))
 
 
-def _pairs(shared: DataFrame, turn: int) -> DataFrame:
-    """Each row of a bucket with its first one, in an order that changes with ``turn``; all with all in small buckets."""
-    order = F.xxhash64("cls", F.lit(turn))
-    first = shared.groupBy("bucket").agg(F.min_by("cls", order).alias("first"))
-    star = shared.join(stage(first, "first-rows"), "bucket").select(F.col("first").alias("a"), F.col("cls").alias("b"))
+def _ordered(frame: DataFrame) -> DataFrame:
+    return frame.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _pairs(shared: DataFrame) -> DataFrame:
+    """Each row of a bucket with its first one, in one of ``CENTRES`` orders; all with all in small buckets."""
+    order = F.xxhash64("cls", F.pmod("bucket", F.lit(CENTRES)))
+    first = stage(shared.groupBy("bucket").agg(F.min_by("cls", order).alias("first")), "first-rows")
+    star = shared.join(first, "bucket").select(F.col("first").alias("a"), F.col("cls").alias("b"))
     small = shared.where(F.col("n") <= SMALL)
     every = small.select("bucket", F.col("cls").alias("a")).join(small.select("bucket", F.col("cls").alias("b")), "bucket")
-    both = star.unionByName(every.where("a < b").select("a", "b")).where("a != b")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _ordered(star.unionByName(every.where("a < b").select("a", "b")))
 
 
 def _unsettled(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several components."""
+    """Rows of the buckets that hold several components, with their component."""
     named = shared.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
-    named = named.withColumn("component", F.coalesce("component", "cls"))
+    named = stage(named.withColumn("component", F.coalesce("component", "cls")), "named")
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    return stage(named.drop("component").join(stage(mixed.select("bucket"), "mixed-buckets"), "bucket"), "unsettled")
+    return stage(named.join(stage(mixed.select("bucket"), "mixed-buckets"), "bucket"), "unsettled")
+
+
+def _across(shared: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different components: each row of a bucket with ``CENTRES`` others, other ones each turn."""
+    rows = _unsettled(shared, found)
+    own = F.struct("cls", "component")
+    some = [F.min_by(own, F.xxhash64("cls", F.lit(turn * CENTRES + i))) for i in range(CENTRES)]
+    first = stage(rows.groupBy("bucket").agg(F.array_distinct(F.array(*some)).alias("first")), "first-rows")
+    star = rows.join(first, "bucket").select("cls", "component", F.explode("first").alias("c"))
+    return _ordered(star.where("component != c.component").select(F.col("c.cls").alias("a"), F.col("cls").alias("b")))
 
 
 def _refined(shared: DataFrame, found: DataFrame) -> DataFrame:
     """The large buckets that hold several components, split by every second bucket that their rows share."""
-    rows = _unsettled(shared.where(F.col("n") > SMALL), found)
+    rows = _unsettled(shared.where(F.col("n") > SMALL), found).drop("component")
     own = rows.groupBy("cls").agg(F.sort_array(F.collect_set("bucket")).alias("own"))
     two = own.select("cls", "own", F.explode("own").alias("x"))
     two = two.select("cls", F.explode(F.filter("own", lambda y: y > F.col("x"))).alias("y"), "x")

@@ -119,4 +119,41 @@ SQL: dict[str, str] = {
             CASE WHEN page_id > original THEN original END AS refers_to
         FROM p LEFT JOIN o ON p.payload_digest = o.payload_digest AND payload_bytes >= 100
     """,
+    "op9_line_chunks": """
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS id,
+                string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents
+        ), l AS (
+            SELECT rid, id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d
+        ), h AS (
+            SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS v FROM l
+        ), r AS (
+            SELECT *, (v + 31 * coalesce(lag(v, 1) OVER w, 0) + 961 * coalesce(lag(v, 2) OVER w, 0)) % 1000000007 AS rolled
+            FROM h WINDOW w AS (PARTITION BY rid ORDER BY pos)
+        ), c AS (
+            SELECT *, coalesce(sum(CASE WHEN rolled % 4 = 0 THEN 1 ELSE 0 END) OVER (
+                PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no
+            FROM r
+        ), k AS (
+            SELECT rid, id, no, string_agg(line, chr(10) ORDER BY pos) AS chunk, count(*) AS n,
+                sum(CASE WHEN trim(line) <> '' THEN 1 ELSE 0 END) AS filled
+            FROM c GROUP BY rid, id, no
+        ), f AS (
+            SELECT chunk, min(id) AS first_id FROM k WHERE filled >= 2 GROUP BY chunk HAVING count(*) > 1
+        ), o AS (
+            SELECT rid, chunk, min(no) AS own_first FROM k GROUP BY rid, chunk
+        ), m AS (
+            SELECT k.*, k.filled >= 2 AND f.first_id IS NOT NULL AND NOT (k.id = f.first_id AND k.no = o.own_first) AS gone
+            FROM k LEFT JOIN f ON k.chunk = f.chunk JOIN o ON k.rid = o.rid AND k.chunk = o.chunk
+        ), s AS (
+            SELECT rid, sum(n) AS n_lines, sum(CASE WHEN gone THEN n ELSE 0 END) AS n_removed,
+                sum(CASE WHEN gone THEN 1 ELSE 0 END) AS n_chunks,
+                coalesce(string_agg(CASE WHEN NOT gone THEN chunk END, chr(10) ORDER BY no), '') AS kept
+            FROM m GROUP BY rid
+        )
+        SELECT doc_id, n_lines::BIGINT AS n_lines, n_removed::BIGINT AS n_removed, n_chunks::BIGINT AS n_chunks,
+            sha256(kept) AS kept_sha256
+        FROM d JOIN s ON d.rid = s.rid
+    """,
 }

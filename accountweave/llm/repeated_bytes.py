@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 from accountweave.llm.common import KEY, row_key, stage, text_of
 
 LENGTH, GRAM = 400, 128
-#: Different stretches of a group that one task compares: at most 0.4 MB.
-GROUP = 512
+#: Different stretches of a group that one task compares: at most 3 MB.
+GROUP = 4096
+#: Distance of the shorter windows by which larger groups are dealt first.
+GRID = 16
 #: Bytes of texts that are looked at in one go.
 PIECE = 1 << 20
 _LAST = 9223372036854775807
@@ -223,21 +225,48 @@ def _compared(fetched: DataFrame, length: int, keep_first: bool) -> DataFrame:
     return ordered.select("anchor", "copies", KEY, "first", "data").mapInArrow(run, f"{KEY} binary, s long, e long")
 
 
-def _dealt(fetched: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """The same for groups of any size: windows are dealt by a hash of their bytes and counted before they meet."""
+def _window_rows(rows: DataFrame, length: int, step: int = 1) -> DataFrame:
+    """A row with a 128-bit hash per window of ``length`` bytes; only those at a multiple of ``step`` from the anchor.
+
+    Where ``rows`` have ``near`` (window positions at that step), only windows that begin at most ``GRID - 1`` before one.
+    """
+    some = "near" in rows.columns
+    names = [KEY, "id", "copies", "first", "s", "h", "g"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [KEY, "id", "copies", "first", "at", "data", *["near"] * some]
         for batch in batches:
-            for key, ident, first, copies, data in zip(*(batch.column(c).to_pylist() for c in (KEY, "id", "first", "copies", "data")), strict=True):
+            for key, ident, copies, first, anchor, data, *near in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 own = np.frombuffer(data, np.uint8)
+                if len(own) < length:
+                    continue
                 h, g = gram_hashes(own, length)[0], gram_hashes(own, length, factor=_B)[0]
-                n = len(h)
-                names = [KEY, "id", "copies", "s", "h", "g"]
-                columns = [pa.array([key] * n, pa.binary()), pa.array(np.full(n, ident)), pa.array(np.full(n, copies)), pa.array(np.arange(n) + first)]
-                yield pa.record_batch([*columns, pa.array(h.view(np.int64)), pa.array(g.view(np.int64))], names=names)
+                at = np.arange(len(h)) + first
+                if some:
+                    wanted = np.zeros(len(h) + GRID, bool)
+                    for back in range(GRID):
+                        t = np.array(near[0]) - first - back
+                        wanted[t[(t >= 0) & (t < len(h))]] = True
+                    keep = wanted[: len(h)]
+                else:
+                    keep = (anchor - at) % step == 0
+                n = int(keep.sum())
+                same = [pa.array([key] * n, pa.binary()), *(pa.array(np.full(n, v)) for v in (ident, copies, first))]
+                yield pa.record_batch([*same, pa.array(at[keep]), pa.array(h[keep].view(np.int64)), pa.array(g[keep].view(np.int64))], names=names)
+
+    return rows.mapInArrow(run, f"{KEY} binary, id long, copies long, first long, s long, h long, g long")
+
 
-    windows = fetched.mapInArrow(run, f"{KEY} binary, id long, copies long, s long, h long, g long")
-    windows = stage(windows, "windows", compression="zstd")
+def _dealt(fetched: DataFrame, length: int, keep_first: bool) -> DataFrame:
+    """The same for groups of any size: windows are dealt by a hash of their bytes and counted before they meet.
+
+    Every window holds a slightly shorter one that stands at a multiple of ``GRID`` from the anchor. Those are dealt first;
+    whole windows are only made next to those that occur again.
+    """
+    coarse = stage(_window_rows(fetched, length - GRID + 1, GRID), "coarse-windows", compression="zstd")
+    again = coarse.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    near = coarse.join(stage(again, "repeated-coarse"), ["h", "g"]).groupBy(KEY, "first").agg(F.collect_set("s").alias("near"))
+    windows = stage(_window_rows(fetched.join(near, [KEY, "first"]), length), "windows", compression="zstd")
     again = windows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1").drop("n")
     met = windows.join(stage(again, "repeated-windows"), ["h", "g"])
     met = met.where(F.col("id") > F.col("low")) if keep_first else met.where("copies = 1")

@@ -127,7 +127,7 @@ def write_ids(
     written.sortWithinPartitions("part", "seq").write.partitionBy("part").parquet(f"{path}/ids")
 
 
-def read_ids(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
+def read_ids(spark: SparkSession, path: str, ids: bool = True, id_type: str = "long") -> DataFrame:
     """``part, seq, doc_id, n_tokens, ids_crc32`` and the ``ids`` (array of int) from the files."""
     table = spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()
     shared = spark.sparkContext.broadcast(np.array([r.id for r in table], "<u4"))
@@ -145,10 +145,8 @@ def read_ids(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
                 names.append("ids")
             yield pa.record_batch(columns, names=names)
 
-    files = spark.read.parquet(f"{path}/ids")
-    files = files.withColumn("part", F.col("part").cast("int"))
-    kind = files.schema["doc_id"].dataType.simpleString()
-    out = f"part int, seq long, doc_id {kind}, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids
+    files = spark.read.schema(f"part int, seq long, doc_id {id_type}, n long, control binary, data binary").parquet(f"{path}/ids")
+    out = f"part int, seq long, doc_id {id_type}, n_tokens long, ids_crc32 long" + ", ids array<int>" * ids
     return files.select("part", "seq", "doc_id", "n", "control", "data").mapInArrow(run, out)
 
 

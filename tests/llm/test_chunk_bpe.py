@@ -1,0 +1,72 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from accountweave.llm import chunk_bpe as C
+from accountweave.llm.tokens import SegmentEncoder, vocabulary_path
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(vocabulary_path())
+
+
+def shared_texts(seed):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choices("abcdeéß.,'\n\t 19", k=r.randint(1, 8)))
+    passages = [" ".join(word() for _ in range(600)) for _ in range(3)]
+    out = [" ".join(word() for _ in range(r.randint(0, 300))) + r.choice(passages)[r.randint(0, 50) :] + word() for _ in range(25)]
+    return [*out, passages[0], passages[0] + "<|endoftext|>" + passages[1], "x" * 5000, " " * 4000, "\n" * 3000, "日本語" * 2000, None, ""]
+
+
+def want(library, text):
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    decoded = library.decode(ids, skip_special_tokens=False)
+    return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_same_as_the_library(documents, library):
+    texts = shared_texts(2)
+    got = {r.id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in C.round_trip(documents(texts, extra=True)).collect()}
+    assert got == {i: want(library, t) for i, t in enumerate(texts)}
+
+
+def test_joins_are_exact_wherever_the_cut_is(library):
+    coder, r = SegmentEncoder(vocabulary_path()), random.Random(9)
+    for _ in range(300):
+        text = "".join(r.choices("ab  \n\t.'sé1<|", k=r.randint(2, 60)))
+        data = text.encode()
+        ends = sorted({len(text[:i].encode()) for i in r.choices(range(1, len(text)), k=4)} | {len(data)})
+        chunks = [(s, e, n) for n, (s, e) in enumerate(zip([0, *ends[:-1]], ends, strict=True))]
+        known = {n: C.inner_ids(coder, data[s:e].decode()) for s, e, n in chunks}
+        ids = np.frombuffer(C.joined(coder, text, data, known, chunks), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_what_is_shared_is_sent(documents):
+    rows = C.encode_shared(documents(shared_texts(3))).collect()
+    assert rows and all(r.shared for r in rows)
+
+
+def test_cuts_do_not_depend_on_what_stands_before():
+    r = random.Random(1)
+    tail = "".join(r.choices("abc def", k=20_000)).encode()
+    a, b = C.cuts(tail), C.cuts(b"other start " * 9 + tail)
+    shift = 108
+    assert {e for e in a if e > 3000} == {e - shift for e in b if e - shift > 3000}
+
+
+def test_columns_stay(documents, odd, library):
+    docs = documents(odd, extra=True)
+    out = C.with_ids(docs)
+    assert out.columns == [*docs.columns, "n_tokens", "token_ids"]
+    rows = out.collect()
+    assert len(rows) == len(odd)
+    assert all(np.frombuffer(r.token_ids, "<u4").tolist() == library.encode(r.text or "", add_special_tokens=False).ids for r in rows)
+
+
+def test_empty_table(documents):
+    assert C.with_ids(documents([])).count() == 0
