@@ -9,36 +9,24 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accountweave.sources.staging import stage
+
 HOT_KEY_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
 NULL_BUCKETS = 100_000
 
 
-def within_broadcast_limit(df: DataFrame) -> bool:
-    """True when the optimizer's size estimate lets Spark broadcast ``df`` by itself (the session's own limit)."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
-
-
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key, as ``_n``."""
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """The most frequent keys and the number of chunks each is to be split into.
+    """Every key of more than ``hot_rows`` rows and the number of chunks it is to be split into.
 
-    At most ``MAX_HOT_KEYS`` rows, whatever the input, so the result may be broadcast. Keys beyond that hold less
-    than ``1 / MAX_HOT_KEYS`` of the rows each. Counts are exact and ties are ordered, so that a recomputed task sees
-    the same chunks.
+    Fewer than one row per ``hot_rows`` rows counted. Counts are exact, so a recomputed task sees the same chunks.
     """
-    return (
-        counts.where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_chunks"))
-    )
+    chunks = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_chunks")
+    return counts.where(F.col("_n") > hot_rows).select(*keys, chunks)
 
 
 def lookup_join(
@@ -51,20 +39,17 @@ def lookup_join(
 ) -> DataFrame:
     """Left join of ``left`` to ``lookup``, which has one row per key; key columns have one name on both sides.
 
-    A lookup within the broadcast limit is left to Spark: no shuffle, hence no skew. A larger one is joined on the
-    key and a slot: rows with a null key, which match nothing, are dealt over many slots; rows of a hot key are dealt
-    over its chunks, and the one lookup row of that key is repeated once per chunk. All other keys have slot 0.
-    Slots come from a hash of ``spread_by`` (columns that tell the rows of one key apart), never from a random
-    number: a task that is run again deals the same way.
+    The join is on the key and a slot: rows with a null key, which match nothing, are dealt over many slots; rows of a
+    hot key are dealt over its chunks, and the one lookup row of that key is repeated once per chunk. All other keys
+    have slot 0. Slots come from a hash of ``spread_by`` (columns that tell the rows of one key apart), never from a
+    random number: a task that is run again deals the same way. Hot keys and the repeats of their rows are written
+    first, so Spark knows the true sizes of all sides and chooses broadcast or shuffle by them.
 
     ``counts`` gives the rows per key (key columns and ``_n``, one row per key) where the caller has them already;
     else they are counted on ``left``, which reads its key columns once more. They only set the chunk numbers.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if within_broadcast_limit(lookup):
-        return left.join(lookup, keys, "left")
-
-    hot = F.broadcast(hot_keys(key_counts(left, keys) if counts is None else counts, keys, hot_rows))
+    hot = stage(hot_keys(key_counts(left, keys) if counts is None else counts, keys, hot_rows), "hot-keys")
     deal = F.xxhash64(*spread_by)
     no_match = reduce(or_, (F.col(k).isNull() for k in keys))
     slotted = (
@@ -78,9 +63,9 @@ def lookup_join(
         )
         .drop("_chunks")
     )
-    repeated = (
-        lookup.join(hot, keys, "left")
-        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_chunks", F.lit(1)) - 1)))
-        .drop("_chunks")
-    )
+    repeated = lookup.withColumn("_slot", F.lit(0))
+    if not hot.isEmpty():
+        # A hot key has two chunks at least.
+        others = lookup.join(hot, keys).withColumn("_slot", F.explode(F.sequence(F.lit(1), F.col("_chunks") - 1)))
+        repeated = repeated.unionByName(stage(others.drop("_chunks"), "hot-lookups"))
     return slotted.join(repeated, [*keys, "_slot"], "left").drop("_slot")

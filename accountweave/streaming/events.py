@@ -10,7 +10,6 @@ from accountweave.functions import to_instant
 from accountweave.operators.contract import split_by_contract
 from accountweave.plans.marts import intent_measures
 from accountweave.schemas import EVENT_MESSAGE
-from accountweave.session import checkpoint_folder
 
 SOURCE_SYSTEM = "digital_events"
 TRIGGER = "5 seconds"
@@ -65,14 +64,16 @@ def parse_events(decoded: DataFrame) -> DataFrame:
     )
 
 
-def _append(df: DataFrame, name: str, path: str, checkpoint: str | None, available_now: bool) -> StreamingQuery:
+def _append(df: DataFrame, name: str, path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    if not checkpoint:
+        raise ValueError("name a lasting folder for the checkpoint: with a new one the sink skips batches it has seen the numbers of")
     trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGER}
     return (
         df.writeStream.queryName(name)
         .format("parquet")
         .outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or checkpoint_folder(df.sparkSession, name))
+        .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
@@ -81,18 +82,21 @@ def _append(df: DataFrame, name: str, path: str, checkpoint: str | None, availab
 def land_events(
     messages: DataFrame,
     path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
     name: str = "events_to_bronze",
 ) -> StreamingQuery:
-    """Append the parsed messages to a Parquet table; checkpoint and sink log make each file count once."""
+    """Append the parsed messages to a Parquet table; checkpoint and sink log make each file count once.
+
+    ``checkpoint`` belongs to ``path`` for good: a restart must name the same one.
+    """
     return _append(parse_events(decode(messages)), name, path, checkpoint, available_now)
 
 
 def quarantine_events(
     messages: DataFrame,
     path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
     name: str = "events_quarantine",
 ) -> StreamingQuery:

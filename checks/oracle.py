@@ -282,7 +282,7 @@ VIEWS = {
     "listed": """select object_name, f->>'name' as field_name, 'Direct' as field_type, f->>'label' as label,
         f->>'type' as data_type, cast(f->>'nillable' as boolean) as nillable
         from (select object_name, unnest(cast(json_extract(doc, '$.fields') as json[])) as f from described)""",
-    "chosen": "select distinct p_brand as object_name, p_type as field_name from part where p_retailprice > 1000",
+    "chosen": "select distinct p_brand as object_name, p_type as field_name from part where p_size % 3 > 0",
     "inventory": """select l.*, case when c.field_name is not null then 'Required' else 'Optional / Evaluate' end as selection
         from listed l left join chosen c using (object_name, field_name)
         union all

@@ -533,7 +533,7 @@ def _inventory(t: Tables) -> DataFrame:
     parts = t.source("part")
     described = parse_describes(parts.selectExpr("p_brand", f"{DESCRIBE_TEXT} as doc"), "p_brand", "doc")
     selected = (
-        parts.where(F.col("p_retailprice") > 1000)
+        parts.where(F.col("p_size") % 3 > 0)
         .selectExpr(
             "p_brand as object_name",
             "explode(array(struct(p_type as field_name, 'Direct' as field_type), struct('Owner.Name' as field_name, 'Relationship' as field_type))) as s",

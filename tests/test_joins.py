@@ -3,7 +3,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from accountweave.operators import joins
 from accountweave.operators.joins import hot_keys, key_counts, lookup_join
 
 
@@ -29,33 +28,49 @@ def found(df):
     return Counter(tuple(r) for r in df.select("id", "key", "value").collect())
 
 
-def test_small_lookup_is_left_to_spark(skewed, lookup):
-    joined = lookup_join(skewed, lookup, "key", ["id"])
+@pytest.mark.parametrize("hot_rows", [50, 1000, 10_000])
+def test_lookup_that_spark_broadcasts(skewed, lookup, hot_rows):
+    joined = lookup_join(skewed, lookup, "key", ["id"], hot_rows=hot_rows)
     assert found(joined) == brute_force(skewed, lookup)
-    assert "_slot" not in joined._jdf.queryExecution().analyzed().toString()
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10_000])
-def test_large_lookup_gives_the_same_rows(skewed, lookup, no_broadcast, hot_rows):
+@pytest.mark.parametrize("hot_rows", [50, 1000, 10_000])
+def test_lookup_that_is_shuffled(skewed, lookup, no_broadcast, hot_rows):
     joined = lookup_join(skewed, lookup, "key", ["id"], hot_rows=hot_rows)
     assert found(joined) == brute_force(skewed, lookup)
     counted = lookup_join(skewed, lookup, "key", ["id"], key_counts(skewed, ["key"]), hot_rows)
     assert found(counted) == brute_force(skewed, lookup)
 
 
-def test_hot_and_null_keys_are_dealt_over_slots(skewed, lookup, no_broadcast, spark):
-    joined = lookup_join(skewed, lookup, "key", ["id"], hot_rows=50)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_slot" in plan
+def test_chunks_of_hot_keys(skewed):
     chunks = {r.key: r._chunks for r in hot_keys(key_counts(skewed, ["key"]), ["key"], 50).collect()}
     assert chunks == {"hot": 20}
 
 
-def test_number_of_hot_keys_is_bounded(spark, monkeypatch, lookup, no_broadcast):
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 3)
-    df = spark.range(1000).selectExpr("id", "concat('k', id % 10) as key")
-    assert hot_keys(key_counts(df, ["key"]), ["key"], 10).count() == 3
-    assert found(lookup_join(df, lookup, "key", ["id"], hot_rows=10)) == brute_force(df, lookup)
+def test_two_thousand_hot_keys_are_all_split(spark, no_broadcast):
+    """Every key holds 11 rows, and more than 5 are hot: three chunks each, whatever their number."""
+    df = spark.range(22_000).selectExpr("id", "concat('k', id % 2000) as key")
+    lookup = spark.range(2000).selectExpr("concat('k', id) as key", "id as value")
+    chunks = hot_keys(key_counts(df, ["key"]), ["key"], 5)
+    assert chunks.count() == 2000 and {r._chunks for r in chunks.collect()} == {3}
+    joined = lookup_join(df, lookup, "key", ["id"], hot_rows=5)
+    assert found(joined) == brute_force(df, lookup)
+
+
+def test_the_largest_task_of_a_hot_key_is_a_small_share(spark, no_broadcast):
+    """All rows have one key; after the join no partition holds a large part of them."""
+    before = {n: spark.conf.get(n) for n in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(20_000).selectExpr("id", "'hot' as key")
+        joined = lookup_join(df, spark.createDataFrame([("hot", 1)], "key string, value long"), "key", ["id"], hot_rows=100)
+        per_task = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(per_task) == 20_000 and max(per_task) < 4_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_two_key_columns(spark, no_broadcast):

@@ -39,6 +39,16 @@ def test_stream_lands_what_the_batch_parses_and_goes_on_from_its_checkpoint(spar
     assert landed.where("_ingested_at is null or _source_system <> 'digital_events'").count() == 0
 
 
+@pytest.mark.parametrize("start", [land_events, quarantine_events])
+def test_a_stream_names_its_checkpoint(spark, envelope, tmp_path, start):
+    source = str(tmp_path / "in")
+    envelope.limit(5).write.parquet(source)
+    with pytest.raises(TypeError):
+        start(as_stream(spark, source), str(tmp_path / "out"))
+    with pytest.raises(ValueError):
+        start(as_stream(spark, source), str(tmp_path / "out"), "")
+
+
 def test_quarantine_holds_the_broken_messages(spark, envelope, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     envelope.coalesce(2).write.parquet(source)
