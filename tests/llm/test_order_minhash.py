@@ -14,8 +14,8 @@ def words(r, n):
 def edited(r, w, n):
     w = list(w)
     for _ in range(n):
-        at = r.randrange(len(w))
-        kind = r.random()
+        at = r.randrange(len(w) or 1)
+        kind = r.random() if w else 1.0
         if kind < 0.4:
             w[at] = "new" + str(r.randrange(10**6))
         elif kind < 0.7:
