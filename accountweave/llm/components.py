@@ -27,15 +27,17 @@ def _small_star(links: DataFrame) -> DataFrame:
     return turned.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether each ``b`` has one link and is the ``a`` of none: then each component is one star."""
+    ends = links.select("b", F.lit(1).alias("n")).unionByName(links.select(F.col("a").alias("b"), F.lit(0).alias("n")))
+    nodes = ends.groupBy("b").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+    return nodes.where("n > 1 or n = 1 and least = 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` of every node of ``links`` (``a, b``); a component is named by its least node."""
     now = stage(links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    state = None
-    while True:
+    while not _all_stars(now):
         now = stage(_small_star(_large_star(now)), "stars")
-        new = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if new == state:
-            break
-        state = new
     nodes = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return nodes.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
