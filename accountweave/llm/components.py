@@ -41,3 +41,15 @@ def components(links: DataFrame) -> DataFrame:
         now = stage(_small_star(_large_star(now)), "stars")
     nodes = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return nodes.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+
+
+def joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (of ``components``) after further ``links``; only components that these touch are worked out again."""
+    name = found.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    other = found.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    ends = links.join(name, "a", "left").join(other, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    turned = stage(components(ends), "joined")
+    renamed = found.join(turned.select(F.col("node").alias("component"), F.col("component").alias("new")), "component", "left")
+    # The name of a component is one of its nodes, so what is not a node yet is new.
+    fresh = turned.join(found.select("node"), "node", "left_anti")
+    return renamed.select("node", F.coalesce("new", "component").alias("component")).unionByName(fresh.select("node", "component"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accountweave.llm.common import KEY, ROW, keyed, row_key, stage, text_of
-from accountweave.llm.components import components
+from accountweave.llm.components import components, joined
 
 SHINGLE, THRESHOLD = 5, 0.8
 ELL, ROWS, BANDS = 2, 2, 32
@@ -304,8 +304,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
         fresh = stage(_verified(_across(refined, found, turn), texts, threshold), "links")
         if fresh.isEmpty():
             break
-        links = links.unionByName(fresh)
-        found, turn = stage(components(links), "components"), turn + 1
+        found, turn = stage(joined(found, fresh), "components"), turn + 1
     named = copies.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
     return named.select(KEY, "own", F.coalesce("component", "cls").alias("cls"))
 
