@@ -10,6 +10,10 @@ Plan: chunk hashes without texts are counted first; only chunks whose hash occur
 Counts are combined before each shuffle, so a passage that stands in a third of all texts is one row per task. Joins on
 the chunk are plain joins of shuffled sides, which Spark splits where a chunk is frequent.
 
+``dedup_lines`` follows that rule, which the SQL of ``op9_line_chunks`` fixes too; a short passage in other surroundings is
+seldom cut alike and stays there. ``without_repeats``, the stage of the pipeline, takes every passage of at least two lines
+that are not blank (``repeated_lines``).
+
 Defined cases: a null text is empty and has one blank line; a null id counts as the largest; rows that share the
 smallest id of a repeat each keep their first occurrence; a text of which nothing is left stays as an empty text.
 """
@@ -103,13 +107,42 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
+def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``KEY, gone``: per row that has any, the numbers of the lines that stand in a repeated passage, wherever chunks end.
+
+    Every line that is not blank makes a window with the next such line and the blank ones between them. Passages of two
+    or more lines are runs of windows, so a passage of any length is found whole in whatever surroundings. A window is a
+    repeat if it has an earlier occurrence (in order of id, key and position) that it doesn't overlap. Windows are equal
+    if their 256-bit digests are.
+    """
+    rows = _rows(docs, id_column, text_column).withColumn("lines", F.split("text", "\n", -1))
+    filled = F.filter(F.transform("lines", lambda line, i: F.when(F.trim(line) != "", i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("filled", filled)
+    # Digests are made inside the array: rows of single windows must not carry the whole text.
+    window = lambda i, end: F.unhex(F.sha2(F.array_join(F.slice("lines", i + 1, end - i + 1), "\n").cast("binary"), 256))
+    every = F.transform("filled", lambda i, k: F.struct(i.alias("at"), F.get("filled", k + 1).alias("end")))
+    every = F.filter(every, lambda w: w["end"].isNotNull())
+    every = F.transform(every, lambda w: F.struct(w["at"].alias("at"), w["end"].alias("end"), window(w["at"], w["end"]).alias("d")))
+    windows = rows.withColumn("every", every).select(KEY, "id", F.explode("every").alias("w")).select(KEY, "id", "w.*")
+    windows = stage(windows, "line-windows", compression="zstd")
+    first = windows.groupBy("d").agg(F.min(F.struct("id", KEY, "at", "end")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    met = windows.join(stage(first, "first-windows", compression="zstd"), "d")
+    later = (F.col(KEY) != F.col(f"first.{KEY}")) | (F.col("at") > F.col("first.end"))
+    lost = met.where(later).select(KEY, F.explode(F.sequence("at", "end")).alias("no"))
+    return lost.groupBy(KEY).agg(F.collect_set("no").alias("gone"))
+
+
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the same columns; ``text`` without the repeats, and ``n_chars`` to match where there is one."""
-    out = dedup_lines(docs, id_column, text_column)
+    """``docs`` with the same columns; ``text`` without repeated lines, and ``n_chars`` to match where there is one."""
+    rows = docs.select(row_key(id_column, text_column).alias(KEY), F.struct("*").alias(ROW), text_of(text_column).alias("whole"))
+    out = rows.join(repeated_lines(docs, id_column, text_column), KEY, "left")
+    out = out.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split("whole", "\n", -1)))
+    out = out.withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
+    out = out.withColumn("kept", F.array_join(F.transform("stay", lambda no: F.get("lines", no)), "\n"))
     columns = []
     for name in docs.columns:
         own = F.col(ROW)[name]
-        changed = F.col("n_removed") > 0
+        changed = F.col("gone").isNotNull()
         if name == text_column:
             own = F.when(changed, F.col("kept")).otherwise(own)
         elif name == "n_chars":

@@ -86,3 +86,41 @@ def test_built_in_functions_only(documents):
 
 def test_empty_table(documents):
     assert L.without_repeats(documents([])).count() == 0
+
+
+def whole_rule(rows):
+    """Kept text per row by the rule of every repeated passage of two lines and more; rows: (id, text), ids unique."""
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        lines = (t or "").split("\n")
+        filled = [k for k, x in enumerate(lines) if x.strip(" ")]
+        gone = set()
+        for at, end in zip(filled, filled[1:]):
+            own = first.setdefault(tuple(lines[at : end + 1]), (i, at, end))
+            if own[0] != i or at > own[2]:
+                gone |= set(range(at, end + 1))
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pipeline_stage_same_as_whole_rule(documents, seed):
+    rows = list(enumerate([*texts(seed), "a\na\na\na\na", "b\n\n \nc\nb\n\n \nc", None, "", "one"]))
+    got = {r.doc_id: r.text or "" for r in L.without_repeats(documents(rows, extra=True)).collect()}
+    assert got == whole_rule(rows)
+
+
+def test_short_passages_in_other_surroundings_go(documents):
+    r = random.Random(3)
+    line = lambda n: " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(n))
+    rows, want = [], []
+    for n in range(2, 11):
+        passage = [line(60 // n + 1) for _ in range(n)]
+        for copy in range(3):
+            before, after = [line(8) for _ in range(r.randint(1, 4))], [line(8) for _ in range(r.randint(1, 4))]
+            rows.append("\n".join([*before, *passage, *after]))
+            want.append("\n".join([*before, *(passage if copy == 0 else []), *after]))
+    out = L.without_repeats(documents(rows))
+    assert [x.text for x in sorted(out.collect(), key=lambda x: x.doc_id)] == want
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
