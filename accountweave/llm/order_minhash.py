@@ -13,8 +13,12 @@ Equal texts are one class from the start: the class has one representative, so a
 In a bucket each representative is compared with the first one, and in buckets of up to ``SMALL`` rows all with all;
 that is linear in the rows. Larger buckets that still hold several components are refined: their rows are dealt into the
 buckets of every two bands that they share, and compared with some others of other components there, with other ones each
-round, until a round brings no new link. Pairs that reach the threshold share several buckets, so what a large bucket
-can't show is seen in a smaller one.
+round, until a round brings no new link. That only joins cheaply what it can; a bucket is not settled by it.
+
+The rows of large buckets that then still hold several components are settled exactly. A pair at the threshold shares most
+labelled shingles, so it shares one of the rarest: as many as it may differ in, and one more. Each row is listed by those, and
+of each pair of components that meets in one all rows that meet are aligned, unless their lengths alone exclude it. What is
+not compared can't reach the threshold, whatever the size of the bucket.
 
 Defined cases: null texts are empty; texts of fewer than five words have one shingle, all their words; texts
 without any word are copies of each other only if they are equal; rows with equal id and text are copies.
@@ -41,6 +45,8 @@ ELL, ROWS, BANDS = 2, 2, 32
 SMALL = 8
 #: Orders that set the first row of a bucket.
 CENTRES = 4
+#: Slots, as a power of two, by which shingles are counted to tell rare ones: 4 MB, whatever the number of texts.
+SLOT_BITS = 20
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -305,6 +311,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
         if fresh.isEmpty():
             break
         found, turn = stage(joined(found, fresh), "components"), turn + 1
+    left = stage(_unsettled(shared.where(F.col("n") > SMALL), found).select("cls", "component").distinct(), "left")
+    if not left.isEmpty():
+        fresh = stage(_verified(stage(_rest(left, texts, threshold), "rest"), texts, threshold), "links")
+        found = stage(joined(found, fresh), "components")
     named = copies.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
     return named.select(KEY, "own", F.coalesce("component", "cls").alias("cls"))
 
@@ -352,6 +362,63 @@ def _refined(shared: DataFrame, found: DataFrame) -> DataFrame:
     return stage(split.join(stage(counts, "split-sizes"), "bucket"), "split-shared")
 
 
+def _slots(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def rarest(x: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Of the labelled shingles ``x`` of a text those of which any text at the threshold has one.
+
+    A partner shares all but ``most`` at least. With all shingles in one order (rare slots first), two such texts share one
+    of their first ``most + 1`` each. A slot that was filled once holds no shared shingle.
+    """
+    most = int(len(x) * (1 - threshold) + 1e-9)
+    n = counts[_slots(x)]
+    first = np.lexsort((x, n))[: most + 1]
+    return x[first[n[first] > 1]]
+
+
+def _rest(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of rows of ``left`` (``cls, component``) in different components that may reach the threshold."""
+    rows = texts.join(left, "cls").select("cls", "component", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                np.add.at(total, _slots(labelled(shingles(word_ids(text)))), 1)
+        some = np.flatnonzero(total)
+        for at in range(0, len(some), 1 << 16):
+            part = some[at : at + (1 << 16)]
+            yield pa.record_batch([pa.array(part), pa.array(total[part])], names=["slot", "n"])
+
+    # At most a number per slot reaches the driver.
+    counted = rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2147483647)).cast("int").alias("n")).toPandas()
+    counts = np.zeros(1 << SLOT_BITS, np.int32)
+    counts[counted["slot"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int32)
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [labelled(shingles(word_ids(t))) for t in batch.column("text").to_pylist()]
+            rare = [rarest(x, shared.value, threshold) for x in own]
+            if own:
+                at = pa.array(np.repeat(np.arange(len(own)), [len(r) for r in rare]))
+                sizes = pa.array([len(x) for x in own], pa.int32())
+                columns = [batch.column("cls"), batch.column("component"), sizes]
+                yield pa.record_batch([*(c.take(at) for c in columns), pa.array(np.concatenate(rare).view(np.int64))], names=["cls", "component", "size", "token"])
+
+    tokens = stage(rows.mapInArrow(listed, "cls binary, component binary, size int, token long"), "rare-shingles", compression="zstd")
+    per = tokens.groupBy("token", "component").agg(F.count("*").alias("n"))
+    mixed = per.groupBy("token").agg(F.count("*").alias("several"), F.max_by("component", "n").alias("main")).where("several > 1")
+    met = stage(tokens.join(mixed.select("token", "main"), "token"), "met-shingles", compression="zstd")
+    # One of a pair is outside the largest component of a shingle, so that one is never paired with itself.
+    other = met.where("component != main").select("token", F.col("cls").alias("a"), F.col("component").alias("x"), F.col("size").alias("m"))
+    every = met.select("token", F.col("cls").alias("b"), F.col("component").alias("y"), F.col("size").alias("n"))
+    most = F.floor(F.greatest("m", "n") * F.lit(1 - threshold) + F.lit(1e-9))
+    return _ordered(other.join(every, "token").where("x != y").where(F.abs(F.col("m") - F.col("n")) <= most).select("a", "b"))
+
+
 def groups(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``own, class_id, class_size``: the class of each row is the smallest id of its rows."""
     found = stage(classes(docs, threshold, id_column=id_column, text_column=text_column), "classes")

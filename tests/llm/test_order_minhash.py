@@ -110,6 +110,30 @@ def test_one_large_group_of_near_copies(documents):
     assert {r.class_id for r in rows if r.own >= 200} == set(range(200, 210))
 
 
+def test_planted_pairs_in_a_large_family_just_below_the_threshold(documents):
+    r = random.Random(6)
+    new = lambda n: ["".join(r.choices("klmnopqrst", k=7)) for _ in range(n)]
+    base = words(r, 163)
+    page = lambda block: " ".join([*base[:80], *block, *base[80:]])
+    blocks = [new(37) for _ in range(300)]
+    planted = {300 + i: r.randrange(10 * i, 10 * i + 10) for i in range(30)}
+    blocks += [[*blocks[of][:2], *new(35)] for of in planted.values()]
+    texts = [page(b) for b in blocks]
+    assert all(similar(texts[i], texts[of]) for i, of in planted.items())
+    assert not any(similar(texts[i], texts[i + 1]) for i in range(20))
+    got = {x.own: x.class_id for x in O.groups(documents(texts)).collect()}
+    assert got == {i: planted.get(i, i) for i in range(330)}
+
+
+def test_pairs_at_the_threshold_share_a_rare_shingle():
+    texts = corpus(5)
+    own = [O.labelled(O.shingles(O.word_ids(t))) for t in texts]
+    counts = np.bincount(O._slots(np.concatenate(own)), minlength=1 << O.SLOT_BITS)
+    rare = [O.rarest(x, counts, 0.8) for x in own]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if similar(texts[i], texts[j])]
+    assert len(pairs) > 20 and all(len(np.intersect1d(rare[i], rare[j])) for i, j in pairs)
+
+
 def test_one_row_of_each_class_stays(documents, odd):
     docs = documents(odd, extra=True)
     out = O.one_of_each(docs)
