@@ -1,10 +1,11 @@
 """Benchmark decontamination by templates: what is left of a passage when its numbers, names and units are slots.
 
 Words are canonicalised: a number becomes ``<num>``, a unit right after a number ``<unit>``, a capitalised word inside a
-sentence ``<name>``; all else is lower case. Windows of five template words of the benchmark items are hash-joined with
-those of the texts. A match is kept per item when the windows lie along one diagonal (same offset between text and item),
-and the slots are consistent: along that diagonal each slot value of the item always stands for the same value of the
-text. An item is found in a text when at least ``MIN_COVER`` of its windows are.
+sentence, or a run of them, ``<name>``; all else is lower case. Windows of five template words of the benchmark items are
+hash-joined with those of the texts. Windows along one diagonal (same offset between text and item) are a line if its slots
+are consistent: each slot value of the item always stands for the same value of the text. Inserted or dropped words start a
+new line; lines of neighbouring offsets whose slots agree are added up. An item is found in a text when at least
+``MIN_COVER`` of its windows are, in the template form or over both forms.
 
 Windows of texts are many and those of the benchmark few, so a bit field of fixed size (2 MB), filled from all benchmark
 windows, drops windows of texts before anything is shuffled. It never drops a match, whatever the size of the benchmark.
@@ -16,6 +17,7 @@ nothing; rows that are repeated get the same result; an empty benchmark leaves a
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +41,8 @@ _WORD = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[%$€£°]|[.!?\n]")
 _END = frozenset(".!?\n")
 
 
-def template(text: str) -> tuple[list[str], list[str]]:
-    """Template words, and the value of each slot (empty where the word is itself)."""
+def _slots(text: str) -> tuple[list[str], list[str]]:
+    """Template words with a slot per word, and the lower-case value of each slot (empty where the word is itself)."""
     words, values, opens, number = [], [], True, False
     for w in _WORD.findall(text):
         if w in _END:
@@ -66,6 +68,24 @@ def template(text: str) -> tuple[list[str], list[str]]:
     return words, values
 
 
+def _joined_names(words: list[str], values: list[str]) -> tuple[list[str], list[str], list[int]]:
+    """A run of names as one slot; and where each word of the result stood."""
+    out, own, starts = [], [], []
+    for i, (w, v) in enumerate(zip(words, values, strict=True)):
+        if w == "<name>" and starts and words[i - 1] == w:
+            own[-1] += " " + v
+        else:
+            out.append(w)
+            own.append(v)
+            starts.append(i)
+    return out, own, starts
+
+
+def template(text: str) -> tuple[list[str], list[str]]:
+    """Template words, and the value of each slot (empty where the word is itself)."""
+    return _joined_names(*_slots(text))[:2]
+
+
 def windows(words: list[str]) -> np.ndarray:
     """64-bit hashes of all runs of ``WINDOW`` template words."""
     if len(words) < WINDOW:
@@ -79,7 +99,32 @@ def windows(words: list[str]) -> np.ndarray:
     return (h * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
-_WINDOWS = "id binary, size int, h long, pos int, v0 string, v1 string, v2 string, v3 string, v4 string"
+#: Kinds of windows: without a name, with a name slot, and the same with names as plain words.
+_PLAIN, _NAMED, _LOWER = 0, 1, 2
+
+
+def window_forms(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]], np.ndarray, int, int]:
+    """Hash, position (in words) and kind of each window; values of both forms, and where to look in them; sizes of both."""
+    words, values = _slots(text)
+    if "<name>" not in words:
+        h = windows(words)
+        at = np.arange(len(h))
+        return h, at, np.full(len(h), _PLAIN), [values, values], at, len(h), len(h)
+    slots, own, starts = _joined_names(words, values)
+    named = lambda ws, n: np.convolve([w == "<name>" for w in ws], np.ones(WINDOW, int))[WINDOW - 1 :][:n] > 0
+    h = windows(slots)
+    kind = np.where(named(slots, len(h)), _NAMED, _PLAIN) if len(h) else np.zeros(0, int)
+    names = [w == "<name>" for w in words]
+    plain = windows([v if n else w for w, v, n in zip(words, values, names, strict=True)])
+    more = np.zeros(0, int)
+    without = ["" if n else v for v, n in zip(values, names, strict=True)]
+    return (
+        np.r_[h, plain[more]], np.r_[np.array(starts, int)[: len(h)], more], np.r_[kind, np.full(len(more), _LOWER)],
+        [own, without], np.r_[np.arange(len(h)), more], len(h), len(plain),
+    )
+
+
+_WINDOWS = "id binary, size int, plain int, h long, pos int, kind int, v0 string, v1 string, v2 string, v3 string, v4 string"
 
 
 def _window_rows(rows: DataFrame, field=None) -> DataFrame:
@@ -87,27 +132,76 @@ def _window_rows(rows: DataFrame, field=None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, hs, at, slots = [], [], [], [], [[] for _ in range(WINDOW)]
+            ids, sizes, plains, hs, at, kinds, slots = [], [], [], [], [], [], [[] for _ in range(WINDOW)]
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words, values = template(text)
-                h = windows(words)
+                h, pos, kind, values, where, size, plain = window_forms(text)
                 own = np.arange(len(h)) if field is None else np.flatnonzero(hits(field.value, h))
                 if len(own):
                     ids += [key] * len(own)
-                    sizes += [len(h)] * len(own)
+                    sizes += [size] * len(own)
+                    plains += [plain] * len(own)
                     hs.append(h[own])
-                    at.append(own)
+                    at.append(pos[own])
+                    kinds.append(kind[own])
+                    places = [(values[k == _LOWER], p) for k, p in zip(kind[own].tolist(), where[own].tolist(), strict=True)]
                     for i in range(WINDOW):
-                        slots[i] += [values[p + i] for p in own.tolist()]
+                        slots[i] += [v[p + i] for v, p in places]
             if ids:
+                numbers = [pa.array(np.concatenate(x).astype(np.int32)) for x in (at, kinds)]
                 yield pa.record_batch(
-                    [pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(np.concatenate(hs)), pa.array(np.concatenate(at).astype(np.int32)), *map(pa.array, slots)],
+                    [pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(plains, pa.int32()), pa.array(np.concatenate(hs)), *numbers, *map(pa.array, slots)],
                     names=[f.split()[0] for f in _WINDOWS.split(", ")],
                 )
 
     return rows.mapInArrow(run, _WINDOWS)
 
 
+def combined(lines: list[dict], size: int, plain: int, min_cover: float) -> tuple[float, bool] | None:
+    """Best cover of an item over ``lines`` (``shift, hits, slots``), and whether all its slots are equal; or none.
+
+    From each line on, those with a shift of at most half the item more or less are added, largest first, as long as all
+    slots stay consistent. Windows of the item count once, in the template form and over both forms.
+    """
+
+    def cover(found: set) -> float:
+        slotted = len({p for p, k in found if k != _LOWER}) / size if size else 0.0
+        return max(slotted, len({p for p, _ in found}) / plain)
+
+    own = [(x["shift"], {(h["pos"], h["kind"]) for h in x["hits"]}, {s["b"]: s["d"] for s in x["slots"]}) for x in lines]
+    own.sort(key=lambda x: x[0])
+    shifts = [x[0] for x in own]
+    reach = (plain + WINDOW - 1) // 2
+    best = None
+    for shift, found, values in own:
+        near = own[bisect_left(shifts, shift - reach) : bisect_right(shifts, shift + reach)]
+        if cover(set().union(*(x[1] for x in near))) < max(min_cover, best[0] if best else 0.0):
+            continue
+        found, values = set(found), dict(values)
+        for _, more, slots in sorted(near, key=lambda x: (-len(x[1]), abs(x[0] - shift), x[0])):
+            if not more <= found and all(values.get(b, d) == d for b, d in slots.items()):
+                found |= more
+                values |= slots
+        now = (cover(found), all(b == d for b, d in values.items()))
+        if now[0] >= min_cover and (best is None or now > best):
+            best = now
+    return best
+
+
+def _combined(pairs: DataFrame, min_cover: float) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, item, size, plain, lines in zip(*(batch.column(c).to_pylist() for c in (KEY, "item", "size", "plain", "lines")), strict=True):
+                best = combined(lines, size, plain, min_cover)
+                if best:
+                    out.append((key, item, *best))
+            if out:
+                kinds = (pa.binary(), pa.string(), pa.float64(), pa.bool_())
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)], names=[KEY, "item", "cover", "same"])
+
+    return pairs.mapInArrow(run, f"{KEY} binary, item string, cover double, same boolean")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_cover: float = MIN_COVER) -> DataFrame:
     """``KEY, item, cover, same``: items found in a row, the share of their windows, and whether all slots are equal.
 
@@ -122,16 +216,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     own = _window_rows(docs.select(row_key(id_column, text_column).alias("id"), text_of(text_column).alias("text")), field)
     own = own.select(F.col("id").alias(KEY), "h", F.col("pos").alias("at"), *(F.col(v).alias(f"d{v}") for v in slots))
     met = own.join(items, "h").select(
-        KEY, F.col("id").alias("item"), "size", (F.col("at") - F.col("pos")).alias("shift"), "pos",
+        KEY, F.col("id").alias("item"), "size", "plain", (F.col("at") - F.col("pos")).alias("shift"), "pos", "kind",
         F.filter(F.array(*(F.struct(F.col(v).alias("b"), F.col(f"d{v}").alias("d")) for v in slots)), lambda s: s["b"] != "").alias("slots"),
     )
-    # Copies of a row give equal matches; a text that repeats an item has one diagonal per repeat.
-    line = met.groupBy(KEY, "item", "size", "shift").agg(F.count_distinct("pos").alias("n"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    values = F.size(F.array_distinct(F.transform("slots", lambda s: s["b"])))
-    line = line.where(F.size("slots") == values).where(F.col("n") >= F.col("size") * F.lit(min_cover))
-    same = F.forall("slots", lambda s: s["b"] == s["d"])
-    line = line.select(KEY, "item", (F.col("n") / F.col("size")).alias("cover"), same.alias("same"))
-    return line.groupBy(KEY, F.col("item").cast("string").alias("item")).agg(F.max("cover").alias("cover"), F.max("same").alias("same"))
+    # Copies of a row give equal matches. Windows with name slots are a line of their own, so names that don't fit leave the rest.
+    named = (F.col("kind") == _NAMED).alias("named")
+    line = met.groupBy(KEY, "item", "size", "plain", "shift", named).agg(F.collect_set(F.struct("pos", "kind")).alias("hits"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    line = line.where(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["b"]))))
+    pairs = line.groupBy(KEY, F.col("item").cast("string").alias("item"), "size", "plain").agg(F.collect_list(F.struct("shift", "hits", "slots")).alias("lines"))
+    # Windows found anywhere in the text bound what can be found together.
+    most = F.size(F.array_distinct(F.flatten(F.transform("lines", lambda x: F.transform(x["hits"], lambda h: h["pos"])))))
+    least = F.when(F.col("size") > 0, F.least("size", "plain")).otherwise(F.col("plain")) * F.lit(min_cover)
+    found = _combined(pairs.where(most >= least), min_cover)
+    return found.groupBy(KEY, "item").agg(F.max("cover").alias("cover"), F.max("same").alias("same"))
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -82,3 +82,14 @@ def test_filter_keeps_rows_and_columns(spark, documents, odd):
 def test_empty_tables(spark, documents):
     assert T.without_leaks(documents([]), benchmark(spark, [(1, ITEM)])).count() == 0
     assert T.without_leaks(documents([ITEM]), benchmark(spark, [])).count() == 1
+
+
+def test_copies_with_inserted_and_dropped_words(spark, documents):
+    r = random.Random(8)
+    item = words(r, 24).split()
+    two = " ".join([*item[:8], "new", *item[8:16], "more", *item[16:]])
+    gone = " ".join([*item[:7], *item[8:16], *item[17:]])
+    apart = " ".join([*item[:8], words(r, 200), *item[8:16], words(r, 200), *item[16:]])
+    longer = ITEM.replace("Bert", "Mary Ann").replace("12", "twelve 9").replace("5 km", "5")
+    got = found(spark, documents, [f"{words(r, 40)} {two} {words(r, 40)}", gone, apart, f"so {longer}"], [(1, " ".join(item)), (2, ITEM)])
+    assert got == {0: ["1"], 1: ["1"], 2: [], 3: ["2"]}
