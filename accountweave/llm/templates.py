@@ -2,7 +2,8 @@
 
 Words are canonicalised: a number becomes ``<num>``, a unit right after a number ``<unit>``, a capitalised word inside a
 sentence, or a run of them, ``<name>``; all else is lower case. Windows of five template words of the benchmark items are
-hash-joined with those of the texts. Windows along one diagonal (same offset between text and item) are a line if its slots
+hash-joined with those of the texts. Windows with a name have a second form with names as lower-case words, so that case and
+line breaks don't matter in a copy. Windows along one diagonal (same offset between text and item) are a line if its slots
 are consistent: each slot value of the item always stands for the same value of the text. Inserted or dropped words start a
 new line; lines of neighbouring offsets whose slots agree are added up. An item is found in a text when at least
 ``MIN_COVER`` of its windows are, in the template form or over both forms.
@@ -116,7 +117,7 @@ def window_forms(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[li
     kind = np.where(named(slots, len(h)), _NAMED, _PLAIN) if len(h) else np.zeros(0, int)
     names = [w == "<name>" for w in words]
     plain = windows([v if n else w for w, v, n in zip(words, values, names, strict=True)])
-    more = np.zeros(0, int)
+    more = np.flatnonzero(named(words, len(plain))) if len(plain) else np.zeros(0, int)
     without = ["" if n else v for v, n in zip(values, names, strict=True)]
     return (
         np.r_[h, plain[more]], np.r_[np.array(starts, int)[: len(h)], more], np.r_[kind, np.full(len(more), _LOWER)],

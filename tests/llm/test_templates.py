@@ -93,3 +93,12 @@ def test_copies_with_inserted_and_dropped_words(spark, documents):
     longer = ITEM.replace("Bert", "Mary Ann").replace("12", "twelve 9").replace("5 km", "5")
     got = found(spark, documents, [f"{words(r, 40)} {two} {words(r, 40)}", gone, apart, f"so {longer}"], [(1, " ".join(item)), (2, ITEM)])
     assert got == {0: ["1"], 1: ["1"], 2: [], 3: ["2"]}
+
+
+def test_copies_in_another_case_and_with_other_line_breaks(spark, documents):
+    r = random.Random(9)
+    item = "we saw Anna give Bert two of Carl books while Dora read to Emil and Fred about Gina and Hans in May"
+    broken = item.replace(" ", ".\n")
+    texts = [f"{words(r, 20)} {t} {words(r, 20)}" for t in (item, item.lower(), item.upper(), item.title(), broken)]
+    assert found(spark, documents, texts, [(1, item)]) == {i: ["1"] for i in range(5)}
+    assert T.template("he met Mary Ann Lee today")[0] == "he met <name> today".split()
