@@ -267,9 +267,9 @@ def _dealt(fetched: DataFrame, length: int, keep_first: bool) -> DataFrame:
     again = coarse.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     near = coarse.join(stage(again, "repeated-coarse"), ["h", "g"]).groupBy(KEY, "first").agg(F.collect_set("s").alias("near"))
     windows = stage(_window_rows(fetched.join(near, [KEY, "first"]), length), "windows", compression="zstd")
-    again = windows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1").drop("n")
+    again = windows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("id", KEY, "s")).alias("low")).where("n > 1").drop("n")
     met = windows.join(stage(again, "repeated-windows"), ["h", "g"])
-    met = met.where(F.col("id") > F.col("low")) if keep_first else met.where("copies = 1")
+    met = met.where(F.struct("id", KEY, "s") > F.col("low")) if keep_first else met.where("copies = 1")
     return met.select(KEY, "s", (F.col("s") + length).alias("e"))
 
 

@@ -50,6 +50,16 @@ def test_same_as_brute_force(spark, documents, monkeypatch, keep, group):
     assert got == dict(enumerate(brute(texts, 400, keep)))
 
 
+def test_later_copies_in_the_first_text_of_a_large_group(documents, monkeypatch):
+    monkeypatch.setattr(R, "GROUP", 2)
+    r = random.Random(7)
+    unique = lambda n: "".join(r.choices("abcdefgh", k=n))
+    passage = unique(600)
+    texts = [unique(200) + passage + unique(500) + passage + unique(200), *(unique(150) + passage + unique(150) for _ in range(4))]
+    got = {x.id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in R.remove_repeats(documents(texts), keep="first").collect()}
+    assert got == dict(enumerate(brute(texts, 400, "first")))
+
+
 def test_pieces_of_a_long_text_agree(monkeypatch):
     data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
     whole = R.stretches(data)
