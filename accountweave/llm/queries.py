@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from accountweave.llm import (
     chunk_bpe,
     discriminant,
+    interleave,
     line_chunks,
     order_minhash,
     repeated_bytes,
@@ -93,6 +94,12 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("own").alias("doc_id"), "class_id", "class_size")
 
 
+def op12_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = interleave.interleave(_table(spark, sf_dir, "documents"))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", grown)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_warc_revisits": op2_warc_revisits,
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chunk_bpe": op8_chunk_bpe,
     "op9_line_chunks": op9_line_chunks,
     "op10_order_minhash": op10_order_minhash,
+    "op12_interleave": op12_interleave,
 }
 
 SQL: dict[str, str] = {
@@ -156,4 +164,35 @@ SQL: dict[str, str] = {
             sha256(kept) AS kept_sha256
         FROM d JOIN s ON d.rid = s.rid
     """,
+    "op12_interleave": f"""
+        WITH RECURSIVE bits AS (
+            SELECT range AS i, 0 AS k, range AS c FROM range(256)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+        ), steps AS (
+            SELECT list(c ORDER BY i) AS step FROM bits WHERE k = 8
+        ), d AS (
+            SELECT doc_id, coalesce('=' || source, '-') AS stratum, coalesce(text, '') AS text,
+                hex(encode(coalesce(text, ''))) AS shown
+            FROM documents
+        ), b AS (
+            SELECT doc_id, stratum, strlen(text)::BIGINT + 1 AS size,
+                md5('{interleave.SEED} ' || coalesce('=' || doc_id::VARCHAR, '-') || ' ' || text) AS shuffled,
+                list_transform(range(0, strlen(text)), lambda i: ('0x' || substr(shown, 2 * i + 1, 2))::BIGINT) AS bytes
+            FROM d
+        ), n AS (
+            SELECT b.*, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+            FROM b, steps
+        ), w AS (
+            SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY shuffled) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY stratum) AS fraction
+            FROM n
+        ), o AS (
+            SELECT *, row_number() OVER (ORDER BY fraction, stratum, shuffled) - 1 AS number, count(*) OVER () AS total FROM w
+        ), s AS (
+            SELECT *, number * {interleave.SHARDS} // total AS shard FROM o
+        )
+        SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+            (number - (shard * total + {interleave.SHARDS - 1}) // {interleave.SHARDS})::BIGINT AS slot, NULL::INTEGER AS grown_shard
+        FROM s
+    """,
 }
