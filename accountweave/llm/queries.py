@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from accountweave.llm import (
     chunk_bpe,
+    cross_align,
     discriminant,
     interleave,
     line_chunks,
@@ -100,6 +101,12 @@ def op12_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", grown)
 
 
+def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cross_align.cross_align(_table(spark, sf_dir, "documents"))
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return out.select(F.col("id").alias("doc_id"), *counts, F.col("groups").alias("groups_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_warc_revisits": op2_warc_revisits,
@@ -112,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_chunks": op9_line_chunks,
     "op10_order_minhash": op10_order_minhash,
     "op12_interleave": op12_interleave,
+    "op13_cross_align": op13_cross_align,
 }
 
 SQL: dict[str, str] = {
