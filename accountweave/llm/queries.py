@@ -15,6 +15,7 @@ from accountweave.llm import (
     interleave,
     line_chunks,
     order_minhash,
+    prefix_trie,
     repeated_bytes,
     rotated_codes,
     templates,
@@ -95,6 +96,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("own").alias("doc_id"), "class_id", "class_size")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_hashes(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.paths(*prefix_trie.rebuilt(turns))).withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 def op12_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = interleave.interleave(_table(spark, sf_dir, "documents"))
     grown = F.lit(None).cast("int").alias("grown_shard")
@@ -118,10 +124,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chunk_bpe": op8_chunk_bpe,
     "op9_line_chunks": op9_line_chunks,
     "op10_order_minhash": op10_order_minhash,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_interleave": op12_interleave,
     "op13_cross_align": op13_cross_align,
 }
 
+#: CRC-32 in SQL: its table of steps by byte, and the checksum of a list ``bytes``.
+_CRC_STEPS = """bits AS (
+            SELECT range AS i, 0 AS k, range AS c FROM range(256)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+        ), steps AS (
+            SELECT list(c ORDER BY i) AS step FROM bits WHERE k = 8
+        )"""
+_CRC = "xor(list_reduce(bytes, lambda s, x: xor(s >> 8, step[(xor(s, x) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
+
 SQL: dict[str, str] = {
     "op2_warc_revisits": """
         WITH p AS (
@@ -172,14 +189,44 @@ SQL: dict[str, str] = {
             sha256(kept) AS kept_sha256
         FROM d JOIN s ON d.rid = s.rid
     """,
-    "op12_interleave": f"""
-        WITH RECURSIVE bits AS (
-            SELECT range AS i, 0 AS k, range AS c FROM range(256)
+    "op11_prefix_trie": f"""
+        WITH RECURSIVE {_CRC_STEPS}, own AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), ids AS (
+            SELECT DISTINCT c, list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::BIGINT) AS bytes FROM own
+        ), cut AS (
+            SELECT c, {_CRC} % 9 AS h FROM ids, steps
+        ), made AS (
+            SELECT cut.c, place, role, text FROM cut JOIN own ON own.c = cut.c - cut.c % 5 AND place <= h
             UNION ALL
-            SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
-        ), steps AS (
-            SELECT list(c ORDER BY i) AS step FROM bits WHERE k = 8
-        ), d AS (
+            SELECT cut.c, place, role, text FROM cut JOIN own ON own.c = cut.c AND place > h
+        ), whole AS (
+            SELECT ids.c, coalesce(list({{'role': role, 'text': text}} ORDER BY place) FILTER (place IS NOT NULL), []) AS turns
+            FROM ids LEFT JOIN made ON made.c = ids.c GROUP BY ids.c
+        ), prefixes AS (
+            SELECT c, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM whole
+        ), nodes AS (
+            SELECT list_slice(turns, 1, depth) AS node, depth, min(c) AS conv_id, count(*) AS n_convs, max(n) = depth AS childless,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '')) AS ends_sha256
+            FROM prefixes GROUP BY node, depth
+        ), up AS (
+            SELECT node, unnest(range(0, depth + 1)) AS above, depth, childless,
+                CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(node[depth].text) END AS saved
+            FROM nodes
+        ), sums AS (
+            SELECT list_slice(node, 1, above) AS node, sum(childless::INT) AS n_leaves, sum(saved) AS saved_tokens,
+                sum((depth = above + 1)::INT) AS n_children
+            FROM up GROUP BY list_slice(node, 1, above)
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n_children::BIGINT AS n_children,
+            n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+        FROM nodes n JOIN sums s ON s.node = n.node
+        LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = list_slice(n.node, 1, n.depth - 1)
+    """,
+    "op12_interleave": f"""
+        WITH RECURSIVE {_CRC_STEPS}, d AS (
             SELECT doc_id, coalesce('=' || source, '-') AS stratum, coalesce(text, '') AS text,
                 hex(encode(coalesce(text, ''))) AS shown
             FROM documents
@@ -189,7 +236,7 @@ SQL: dict[str, str] = {
                 list_transform(range(0, strlen(text)), lambda i: ('0x' || substr(shown, 2 * i + 1, 2))::BIGINT) AS bytes
             FROM d
         ), n AS (
-            SELECT b.*, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+            SELECT b.*, {_CRC} AS text_crc32
             FROM b, steps
         ), w AS (
             SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY shuffled) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY stratum) AS fraction
