@@ -197,7 +197,8 @@ def _ratio(part: Column, whole: Column) -> Column:
 def sales_performance(opportunities: DataFrame, sales_reps: DataFrame) -> DataFrame:
     """One row per rep and month of the close date. Owners that are not reps drop out.
 
-    ``opportunities_closed`` and ``pipeline_closed`` cover all opportunities of the month, open ones too.
+    ``opportunities_closed`` and ``pipeline_closed`` cover all opportunities of the month, open ones too;
+    ``open_revenue`` is the money of the open ones.
     """
     is_won = F.col("is_won")
     monthly = (
@@ -209,6 +210,7 @@ def sales_performance(opportunities: DataFrame, sales_reps: DataFrame) -> DataFr
             F.count_if(F.col("is_closed") & ~is_won).alias("lost_opportunities"),
             _money(F.sum("amount")).alias("pipeline_closed"),
             _money(F.sum(F.when(is_won, F.col("amount")))).alias("won_revenue"),
+            _money(F.sum(F.when(~F.col("is_closed"), F.col("amount")))).alias("open_revenue"),
         )
     )
     reps = sales_reps.select("sales_rep_id", F.col("name").alias("sales_rep_name"))
@@ -221,6 +223,7 @@ def sales_performance(opportunities: DataFrame, sales_reps: DataFrame) -> DataFr
         "lost_opportunities",
         "pipeline_closed",
         "won_revenue",
+        "open_revenue",
         _ratio(F.col("won_opportunities") * 100.0, F.col("opportunities_closed")).alias("win_rate"),
         _ratio(F.col("won_revenue"), F.col("won_opportunities")).alias("average_deal_size"),
     )

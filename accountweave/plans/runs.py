@@ -1,7 +1,8 @@
 """Runs: landed tables -> canonical tables -> marts.
 
 Each table is written once and its readers read the written table. Nothing is computed twice, no cache has to hold a
-large table, and a lost executor costs one stage of one table, not a long chain.
+large table, and a lost executor costs one stage of one table, not a long chain. A table is replaced by a new version, which
+counts once it is whole; a run that dies leaves every table as it was or as it should be.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from accountweave.operators.events import customer_events
 from accountweave.operators.identity import identity_map
 from accountweave.operators.quality import integrity_report
 from accountweave.plans import marts
+from accountweave.plans.serving import FOLDED, with_folded
 from accountweave.schemas import IDENTITY, LANDED_EVENT, landed_crm
-from accountweave.sources.staging import stage
 from accountweave.sources.tables import first_table_or_empty, read_table, write_mart, write_table
 
 # Folder names under which these tables may have been landed.
@@ -28,6 +29,9 @@ ROLE_FOLDERS = (
 )
 EVENT_FOLDERS = ("events/customer_events", "events", "customer_events")
 
+#: Folder column of the canonical events, so that one day of them can be read alone.
+EVENT_DAY = "event_day"
+
 REQUIRED_OBJECTS = ("user", "account", "contact", "lead", "opportunity")
 
 
@@ -42,8 +46,8 @@ def landed_tables(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
 def build_silver(spark: SparkSession, bronze: str, silver: str, update_identities: bool = False) -> dict[str, int]:
     """Write the eight canonical tables and the integrity report; returns rows per table.
 
-    ``update_identities`` feeds the identity map written before into the new one. It is copied to a second folder
-    first, because a table cannot be overwritten while it is read.
+    ``update_identities`` feeds the identity map written before into the new one, which becomes a version of its own;
+    until that is whole the map before is the one that counts.
     """
     landed = landed_tables(spark, bronze)
     rows = {
@@ -57,14 +61,14 @@ def build_silver(spark: SparkSession, bronze: str, silver: str, update_identitie
     scratch = f"{silver}/_stage"
     existing = None
     if update_identities:
-        known = first_table_or_empty(spark, [f"{silver}/identity"], IDENTITY)
-        existing = stage(known, "identity_before", scratch)
+        existing = first_table_or_empty(spark, [f"{silver}/identity"], IDENTITY)
     identities = identity_map(
         landed["events"], written("contact"), written("account"), existing, stage_folder=scratch
     )
     rows["identity"] = write_table(identities, silver, "identity")
+    found = customer_events(landed["events"], written("identity"), stage_folder=scratch)
     rows["customer_event"] = write_table(
-        customer_events(landed["events"], written("identity"), stage_folder=scratch), silver, "customer_event"
+        found.withColumn(EVENT_DAY, F.to_date("event_timestamp")), silver, "customer_event", [EVENT_DAY]
     )
 
     report = integrity_report(
@@ -74,27 +78,36 @@ def build_silver(spark: SparkSession, bronze: str, silver: str, update_identitie
     return rows
 
 
+#: Files of a mart: folders, order within them, and columns with bloom filters.
+FILES = {
+    "customer_360": {"sort_by": ["account_id"], "bloom": ["account_name"]},
+    "intent_engagement": {"partition_by": ["event_date"], "sort_by": ["account_id"]},
+    "sales_prioritization": {"sort_by": ["priority_score", "account_id"], "bloom": ["account_id", "sales_rep_id"]},
+    "sales_performance": {"sort_by": ["sales_rep_id", "month"]},
+    "lead_attribution": {"sort_by": ["lead_id"]},
+}
+
+
 def build_gold(spark: SparkSession, silver: str, gold: str, as_of: str | date) -> dict[str, int]:
     """Write the five marts in dependency order; returns rows per mart."""
 
     def canonical_table(name: str) -> DataFrame:
         return read_table(spark, silver, name)
 
+    def write(mart: DataFrame, name: str) -> int:
+        return write_mart(with_folded(mart, FOLDED.get(name, ())), gold, name, **FILES[name])
+
     opportunities, reps, events = map(canonical_table, ("opportunity", "sales_rep", "customer_event"))
     rows = {}
     c360 = marts.customer_360(
         canonical_table("account"), canonical_table("contact"), opportunities, reps, events, as_of
     )
-    rows["customer_360"] = write_mart(c360, gold, "customer_360")
-    rows["intent_engagement"] = write_mart(
-        marts.intent_engagement(events), gold, "intent_engagement", partition_by=["event_date"]
-    )
+    rows["customer_360"] = write(c360, "customer_360")
+    rows["intent_engagement"] = write(marts.intent_engagement(events), "intent_engagement")
     scored = marts.sales_prioritization(
         read_table(spark, gold, "customer_360"), read_table(spark, gold, "intent_engagement"), as_of
     )
-    rows["sales_prioritization"] = write_mart(scored, gold, "sales_prioritization")
-    rows["sales_performance"] = write_mart(marts.sales_performance(opportunities, reps), gold, "sales_performance")
-    rows["lead_attribution"] = write_mart(
-        marts.lead_attribution(canonical_table("lead"), opportunities), gold, "lead_attribution"
-    )
+    rows["sales_prioritization"] = write(scored, "sales_prioritization")
+    rows["sales_performance"] = write(marts.sales_performance(opportunities, reps), "sales_performance")
+    rows["lead_attribution"] = write(marts.lead_attribution(canonical_table("lead"), opportunities), "lead_attribution")
     return rows

@@ -1,20 +1,38 @@
 """Queries on the marts: filters, point lookups, top-N, paging and key figures. Results stay DataFrames.
 
-Filters are plain column predicates on the mart, so Spark pushes them into the Parquet scan; paging sorts by the mart
-key and takes the page with a bounded top-k, never a full sort.
+Filters are written so that Spark pushes them into the Parquet scan. Text that is compared whatever its case has a folded
+copy in a written mart (``FOLDED``, see ``plans.runs``); a frame without that copy is compared by an expression.
+
+Pages. A list has an order by its key. ``after`` names the last row of the page before, by its key: the next page
+starts behind it, and the bound on the first key column is a predicate for the scan, so a page deep in a list costs what
+the first one costs. ``offset`` is there too; it sorts out offset + limit rows in each task, so it is for the first pages.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from accountweave.plans.marts import DAILY_COUNTERS
 
 DEFAULT_PAGE, MAX_PAGE = 50, 500
 
+#: Order of each list: key column and whether it descends.
+CUSTOMER_KEY = (("account_id", False),)
+PRIORITY_KEY = (("priority_score", True), ("account_id", False))
+PERFORMANCE_KEY = (("sales_rep_id", False), ("month", False))
+LEAD_KEY = (("lead_id", False),)
+
+#: Columns that are compared whatever their case; a written mart has each of them folded too, under this suffix.
+FOLDED = {"customer_360": ("industry",), "sales_prioritization": ("priority_band",), "lead_attribution": ("lead_source",)}
+FOLDED_SUFFIX = "_folded"
+
+Key = Sequence[tuple[str, bool]]
+After = Row | Mapping | Sequence | None
+LARGEST = 1.7976931348623157e308
+
 
 def clean_nonfinite(df: DataFrame) -> DataFrame:
     """NaN and infinities of all floating-point columns become null."""
@@ -25,17 +43,81 @@ def clean_nonfinite(df: DataFrame) -> DataFrame:
     )
 
 
-def _same_text(column: str, wanted: str) -> Column:
-    """Case-insensitive equality, null taken as empty text."""
-    return F.lower(F.coalesce(F.col(column), F.lit(""))) == F.lower(F.lit(wanted))
+def folded(text: Column) -> Column:
+    """Text for comparison whatever its case, null as empty text."""
+    return F.lower(F.coalesce(text, F.lit("")))
+
+
+def with_folded(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return mart.withColumns({c + FOLDED_SUFFIX: folded(F.col(c)) for c in columns}) if columns else mart
+
+
+def _same_text(df: DataFrame, column: str, wanted: str | None) -> Column | None:
+    """Case-insensitive equality, null taken as empty text; a plain comparison where the folded column is there."""
+    if not wanted:
+        return None
+    known = column + FOLDED_SUFFIX
+    return (F.col(known) if known in df.columns else folded(F.col(column))) == F.lower(F.lit(wanted))
+
+
+def _flag(column: str, wanted: bool | None) -> Column | None:
+    """Boolean equality, null taken as false."""
+    if wanted is None:
+        return None
+    return F.col(column) == F.lit(True) if wanted else (F.col(column) == F.lit(False)) | F.col(column).isNull()
+
+
+def after_values(key: Key, after: After) -> tuple | None:
+    """The values of the key columns in ``after``: a served row, a mapping, or the values themselves."""
+    if after is None:
+        return None
+    if isinstance(after, Row):
+        after = after.asDict()
+    values = tuple(after[c] for c, _ in key) if isinstance(after, Mapping) else tuple([after] if isinstance(after, str) else after)
+    if len(values) != len(key):
+        raise ValueError(f"after must have the columns {[c for c, _ in key]}, got {after!r}")
+    return values
+
+
+def _behind(column: Column, value, descending: bool) -> Column:
+    """Behind ``value`` in the order; nulls come first in an ascending order and last in a descending one."""
+    if value is None:
+        return F.lit(False) if descending else column.isNotNull()
+    return (column < F.lit(value)) | column.isNull() if descending else column > F.lit(value)
+
 
+def _not_before(column: Column, value, descending: bool) -> Column:
+    if value is None:
+        return column.isNull() if descending else F.lit(True)
+    return (column <= F.lit(value)) | column.isNull() if descending else column >= F.lit(value)
 
-def page(df: DataFrame, order: Sequence[Column | str], limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
+
+def behind(key: Key, values: Sequence, columns: Mapping[str, Column] | None = None) -> Column:
+    """Rows behind the one with these key values. A bound on the first column stands by itself, for the scan."""
+    at = [(columns or {}).get(c, F.col(c)) for c, _ in key]
+    parts, same = F.lit(False), F.lit(True)
+    for column, value, (_, descending) in zip(at, values, key, strict=True):
+        parts |= same & _behind(column, value, descending)
+        same &= column.eqNullSafe(F.lit(value))
+    return parts if len(at) == 1 else _not_before(at[0], values[0], key[0][1]) & parts
+
+
+def page(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    limit: int = DEFAULT_PAGE,
+    offset: int = 0,
+    after: Column | None = None,
+) -> DataFrame:
+    """The rows of a page. ``after`` is a condition (see ``behind``) and takes the place of an offset."""
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be in 1..{MAX_PAGE}, got {limit}")
     if offset < 0:
         raise ValueError(f"offset must not be negative, got {offset}")
-    return df.orderBy(*order).offset(offset).limit(limit)
+    if after is not None and offset:
+        raise ValueError("a page starts after a row or at an offset, not both")
+    ordered = df.orderBy(*order)
+    return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 
 def _where(df: DataFrame, *conditions: Column | None) -> DataFrame:
@@ -45,6 +127,11 @@ def _where(df: DataFrame, *conditions: Column | None) -> DataFrame:
     return df
 
 
+def _beyond(key: Key, after: After) -> Column | None:
+    values = after_values(key, after)
+    return None if values is None else behind(key, values)
+
+
 def _equals(column: str, wanted: str | None) -> Column | None:
     return F.col(column) == wanted if wanted else None
 
@@ -55,14 +142,16 @@ def customers(
     industry: str | None = None,
     limit: int = DEFAULT_PAGE,
     offset: int = 0,
+    after: After = None,
 ) -> DataFrame:
-    found = _where(c360, _equals("account_id", account_id), _same_text("industry", industry) if industry else None)
+    beyond = _beyond(CUSTOMER_KEY, after)
+    found = _where(c360, _equals("account_id", account_id), _same_text(c360, "industry", industry), beyond)
     served = found.select(
         "account_id", "account_name", "industry", "employee_count", "annual_revenue", "contact_count",
         "open_opportunity_count", "open_pipeline_value", "won_opportunity_count", "won_pipeline_value",
         "lost_opportunity_count",
     )
-    return page(clean_nonfinite(served), ["account_id"], limit, offset)
+    return page(clean_nonfinite(served), ["account_id"], limit, offset, beyond)
 
 
 def customer(c360: DataFrame, account_id: str) -> DataFrame:
@@ -71,12 +160,17 @@ def customer(c360: DataFrame, account_id: str) -> DataFrame:
 
 
 def intent_windows(
-    intent: DataFrame, account_id: str | None = None, limit: int = DEFAULT_PAGE, offset: int = 0
+    intent: DataFrame,
+    account_id: str | None = None,
+    limit: int = DEFAULT_PAGE,
+    offset: int = 0,
+    after: After = None,
 ) -> DataFrame:
     """Per account: first and last day with activity and the sums in between."""
+    beyond = _beyond(CUSTOMER_KEY, after)
     counters = [c for c in DAILY_COUNTERS if c != "brochure_downloads"]
     summed = (
-        _where(intent, _equals("account_id", account_id))
+        _where(intent, _equals("account_id", account_id), beyond)
         .groupBy("account_id")
         .agg(
             F.min("event_date").alias("window_start_date"),
@@ -85,7 +179,7 @@ def intent_windows(
             F.sum("intent_score").cast("double").alias("intent_score"),
         )
     )
-    return page(summed, ["account_id"], limit, offset)
+    return page(summed, ["account_id"], limit, offset, beyond)
 
 
 def latest_intent(intent: DataFrame, account_id: str | None = None) -> DataFrame:
@@ -105,23 +199,32 @@ def priorities(
     sales_rep_id: str | None = None,
     limit: int = DEFAULT_PAGE,
     offset: int = 0,
+    after: After = None,
 ) -> DataFrame:
-    """Accounts by score, best first; equal scores by account."""
+    """Accounts by score, best first; equal scores by account. A score that is null or no number counts as 0.0."""
     found = _where(
         prioritization,
-        _same_text("priority_band", band) if band else None,
+        _same_text(prioritization, "priority_band", band),
         _equals("sales_rep_id", sales_rep_id),
     )
+    beyond, values = None, after_values(PRIORITY_KEY, after)
+    if values is not None:
+        score, raw = values[0] or 0.0, F.col("priority_score")
+        # Scores to be read as 0.0: null, and beyond the largest number (infinite, or no number).
+        found = found.where((raw <= F.lit(score)) | raw.isNull() | (raw > F.lit(LARGEST)))
+        counted = F.coalesce(F.when(F.abs(raw) <= F.lit(LARGEST), raw), F.lit(0.0))
+        beyond = behind(PRIORITY_KEY, (score, values[1]), {"priority_score": counted})
+        found = found.where(beyond)
     served = found.select(
         "account_id", "account_name", "sales_rep_id", "sales_rep_name", F.col("intent_score").cast("double"),
         "open_pipeline_value", "priority_score", "priority_band",
     )
     best_first = F.coalesce("priority_score", F.lit(0.0)).desc()
-    return page(clean_nonfinite(served), [best_first, "account_id"], limit, offset)
+    return page(clean_nonfinite(served), [best_first, "account_id"], limit, offset, beyond)
 
 
 def published_performance(performance: DataFrame) -> DataFrame:
-    """Mart columns under their published names. The mart holds no open money, so that figure is its default, 0.0."""
+    """Mart columns under their published names."""
     return performance.select(
         "sales_rep_id",
         "sales_rep_name",
@@ -129,7 +232,7 @@ def published_performance(performance: DataFrame) -> DataFrame:
         F.col("opportunities_closed").alias("total_opportunities"),
         "won_opportunities",
         "lost_opportunities",
-        F.lit(0.0).alias("open_pipeline_value"),
+        F.col("open_revenue").alias("open_pipeline_value"),
         F.col("won_revenue").alias("won_pipeline_value"),
         "win_rate",
         F.col("average_deal_size").alias("avg_deal_size"),
@@ -142,9 +245,11 @@ def performance_by_rep(
     month: str | None = None,
     limit: int = DEFAULT_PAGE,
     offset: int = 0,
+    after: After = None,
 ) -> DataFrame:
-    found = _where(performance, _equals("sales_rep_id", sales_rep_id), _equals("month", month))
-    return page(clean_nonfinite(published_performance(found)), ["sales_rep_id", "month"], limit, offset)
+    beyond = _beyond(PERFORMANCE_KEY, after)
+    found = _where(performance, _equals("sales_rep_id", sales_rep_id), _equals("month", month), beyond)
+    return page(clean_nonfinite(published_performance(found)), ["sales_rep_id", "month"], limit, offset, beyond)
 
 
 def published_leads(attribution: DataFrame) -> DataFrame:
@@ -165,13 +270,13 @@ def leads(
     is_converted: bool | None = None,
     limit: int = DEFAULT_PAGE,
     offset: int = 0,
+    after: After = None,
 ) -> DataFrame:
+    beyond = _beyond(LEAD_KEY, after)
     found = _where(
-        attribution,
-        _same_text("lead_source", lead_source) if lead_source else None,
-        None if is_converted is None else F.coalesce("is_converted", F.lit(False)) == is_converted,
+        attribution, _same_text(attribution, "lead_source", lead_source), _flag("is_converted", is_converted), beyond
     )
-    return page(clean_nonfinite(published_leads(found)), ["lead_id"], limit, offset)
+    return page(clean_nonfinite(published_leads(found)), ["lead_id"], limit, offset, beyond)
 
 
 def account_names(c360: DataFrame) -> DataFrame:
@@ -180,13 +285,13 @@ def account_names(c360: DataFrame) -> DataFrame:
 
 
 def account_intent(c360: DataFrame, intent: DataFrame, account_name: str) -> DataFrame:
-    """Newest intent day of the account with this name (the smallest id, should several share it)."""
-    chosen = (
-        c360.where(F.col("account_name") == account_name)
-        .agg(F.min("account_id").alias("account_id"))
-        .where(F.col("account_id").isNotNull())
-    )
-    days = intent.join(F.broadcast(chosen), "account_id")
+    """Newest intent day of the account with this name (the smallest id, should several share it).
+
+    The id is a scalar subquery: it is known before the intent mart is opened, so it is a bound for the scan there, which
+    skips what a sorted file or a bloom filter shows not to hold it.
+    """
+    chosen = c360.where(F.col("account_name") == account_name).agg(F.min("account_id")).scalar()
+    days = intent.where(F.col("account_id") == chosen)
     return latest_intent(days).select(
         "account_id",
         F.lit(account_name).alias("account_name"),
@@ -230,10 +335,13 @@ def _total(column: str) -> Column:
 
 
 def rep_revenue(performance: DataFrame) -> DataFrame:
-    """Per rep over all months: won and open money as published, and the money of all its opportunities."""
-    return performance.groupBy("sales_rep_name").agg(
+    """Per rep over all months: won and open money as published, and the money of all its opportunities.
+
+    Reps are told apart by id: two of one name stay two rows.
+    """
+    return performance.groupBy("sales_rep_id", "sales_rep_name").agg(
         _total("won_revenue").alias("won_pipeline_value"),
-        F.lit(0.0).alias("open_pipeline_value"),
+        _total("open_revenue").alias("open_pipeline_value"),
         _total("pipeline_closed").alias("all_pipeline_value"),
     )
 

@@ -133,10 +133,12 @@ VIEWS = {
     "perf_base": """select o.owner_id as sales_rep_id, r.name as sales_rep_name, strftime(o.close_date, '%Y-%m') as month,
         count(*) as opportunities_closed, count(*) filter (is_won) as won_opportunities,
         count(*) filter (is_closed and not is_won) as lost_opportunities,
-        coalesce(sum(amount), 0) as pipeline_dec, coalesce(sum(amount) filter (is_won), 0) as won_dec
+        coalesce(sum(amount), 0) as pipeline_dec, coalesce(sum(amount) filter (is_won), 0) as won_dec,
+        coalesce(sum(amount) filter (not is_closed), 0) as open_dec
         from opps o join reps r on o.owner_id = r.sales_rep_id group by 1, 2, 3""",
     "perf": """select sales_rep_id, sales_rep_name, month, opportunities_closed, won_opportunities, lost_opportunities,
         cast(pipeline_dec as double) as pipeline_closed, cast(won_dec as double) as won_revenue,
+        cast(open_dec as double) as open_revenue,
         ((20000 * won_opportunities + opportunities_closed) // (2 * opportunities_closed)) / cast(100 as double) as win_rate,
         case when won_opportunities > 0 then cast(((2 * cast(won_dec * 100 as hugeint) + won_opportunities)
           // (2 * won_opportunities)) as double) / cast(100 as double) else cast(0 as double) end as average_deal_size
@@ -477,6 +479,25 @@ QUERIES = {
     "serve_customers": """select account_id, account_name, industry, employee_count, annual_revenue, contact_count,
         open_opportunity_count, open_pipeline_value, won_opportunity_count, won_pipeline_value, lost_opportunity_count
         from c360 where lower(industry) = 'machinery' order by account_id limit 20 offset 5""",
+    "serve_customers_after": """select account_id, account_name, industry, employee_count, annual_revenue, contact_count,
+        open_opportunity_count, open_pipeline_value, won_opportunity_count, won_pipeline_value, lost_opportunity_count
+        from c360 where lower(industry) = 'machinery' and account_id > 'acc_5' order by account_id limit 50""",
+    "serve_intent_after": """select account_id, strftime(min(event_date), '%Y-%m-%d') as window_start_date,
+        strftime(max(event_date), '%Y-%m-%d') as window_end_date, cast(sum(website_visits) as bigint) as website_visits,
+        cast(sum(product_views) as bigint) as product_views, cast(sum(pricing_views) as bigint) as pricing_views,
+        cast(sum(documentation_views) as bigint) as documentation_views, cast(sum(demo_requests) as bigint) as demo_requests,
+        cast(sum(intent_score) as double) as intent_score from intent where account_id > 'acc_3' group by 1
+        order by account_id limit 200""",
+    "top_priority_after": """select account_id, account_name, sales_rep_id, sales_rep_name,
+        cast(intent_score as double) as intent_score, open_pipeline_value, priority_score, priority_band from prio
+        where priority_score < 55 or priority_score = 55 and account_id > 'acc_3' order by priority_score desc, account_id limit 300""",
+    "serve_sales_performance_after": """select sales_rep_id, sales_rep_name, month, opportunities_closed as total_opportunities,
+        won_opportunities, lost_opportunities, open_revenue as open_pipeline_value, won_revenue as won_pipeline_value,
+        win_rate, average_deal_size as avg_deal_size from perf
+        where sales_rep_id > 'srep_3' or sales_rep_id = 'srep_3' and month > '1996-07' order by sales_rep_id, month limit 300""",
+    "serve_lead_attribution_after": """select lead_id, lead_source, is_converted, converted_account_id as account_id,
+        converted_opportunity_id as opportunity_id, converted_opportunity_amount as opportunity_amount, is_won_deal as is_won
+        from attr where lead_source = 'Partner' and not coalesce(is_converted, false) and lead_id > 'led_2' order by lead_id limit 500""",
     "serve_account": """select account_id, account_name, industry, employee_count, annual_revenue, contact_count,
         open_opportunity_count, open_pipeline_value, won_opportunity_count, won_pipeline_value, lost_opportunity_count
         from c360 where account_id = 'acc_42'""",
@@ -491,7 +512,7 @@ QUERIES = {
         cast(intent_score as double) as intent_score, open_pipeline_value, priority_score, priority_band from prio
         where priority_band = 'Tier 2' order by priority_score desc, account_id limit 50""",
     "serve_sales_performance": """select sales_rep_id, sales_rep_name, month, opportunities_closed as total_opportunities,
-        won_opportunities, lost_opportunities, cast(0 as double) as open_pipeline_value, won_revenue as won_pipeline_value,
+        won_opportunities, lost_opportunities, open_revenue as open_pipeline_value, won_revenue as won_pipeline_value,
         win_rate, average_deal_size as avg_deal_size from perf where month = '1997-05' order by sales_rep_id limit 200""",
     "serve_lead_attribution": """select lead_id, lead_source, is_converted, converted_account_id as account_id,
         converted_opportunity_id as opportunity_id, converted_opportunity_amount as opportunity_amount, is_won_deal as is_won
@@ -511,8 +532,9 @@ QUERIES = {
         count(*) filter (is_won_deal) as won_deals,
         cast(sum(cast(converted_opportunity_amount as decimal(18,2))) as double) as won_revenue
         from attr where lead_source is not null group by 1""",
-    "rep_revenue_breakdown": """select sales_rep_name, cast(sum(won_dec) as double) as won_pipeline_value,
-        cast(0 as double) as open_pipeline_value, cast(sum(pipeline_dec) as double) as all_pipeline_value from perf_base group by 1""",
+    "rep_revenue_breakdown": """select sales_rep_id, sales_rep_name, cast(sum(won_dec) as double) as won_pipeline_value,
+        cast(sum(open_dec) as double) as open_pipeline_value, cast(sum(pipeline_dec) as double) as all_pipeline_value
+        from perf_base group by 1, 2""",
     "field_inventory": """select object_name, field_name, field_type, data_type, nillable, selection, count(*) as fields,
         min(label) as first_label from inventory group by 1, 2, 3, 4, 5, 6""",
     "field_count_pivot": """select object_name, count(*) filter (field_type = 'Direct') as "Direct",

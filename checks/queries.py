@@ -486,6 +486,32 @@ def serve_lead_attribution(t: Tables) -> DataFrame:
     return serving.leads(_attribution(t), lead_source="WEB", is_converted=True, limit=500, offset=50)
 
 
+@query
+def serve_customers_after(t: Tables) -> DataFrame:
+    return shown(serving.customers(_c360(t), industry="MACHINERY", after="acc_5"))
+
+
+@query
+def serve_intent_after(t: Tables) -> DataFrame:
+    page = serving.intent_windows(_intent(t), limit=200, after={"account_id": "acc_3"})
+    return shown(page, days=["window_start_date", "window_end_date"])
+
+
+@query
+def top_priority_after(t: Tables) -> DataFrame:
+    return serving.priorities(_priority(t), limit=300, after=(55.0, "acc_3"))
+
+
+@query
+def serve_sales_performance_after(t: Tables) -> DataFrame:
+    return serving.performance_by_rep(_performance(t), limit=300, after=("srep_3", "1996-07"))
+
+
+@query
+def serve_lead_attribution_after(t: Tables) -> DataFrame:
+    return serving.leads(_attribution(t), lead_source="partner", is_converted=False, limit=500, after=["led_2"])
+
+
 @query
 def account_names(t: Tables) -> DataFrame:
     return serving.account_names(_c360(t))

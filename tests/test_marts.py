@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from accountweave.plans import marts, serving
 
@@ -114,9 +115,9 @@ def test_sales_performance(opportunities, reps):
     assert set(rows) == {("srep_1", "2026-08"), ("srep_2", "2026-07")}
     august = rows[("srep_1", "2026-08")]
     assert (august.opportunities_closed, august.won_opportunities, august.lost_opportunities) == (3, 1, 1)
-    assert (august.pipeline_closed, august.won_revenue, august.win_rate, august.average_deal_size) == (75000.0, 25000.0, 33.33, 25000.0)
+    assert (august.pipeline_closed, august.won_revenue, august.open_revenue) == (75000.0, 25000.0, 50000.0) and (august.win_rate, august.average_deal_size) == (33.33, 25000.0)
     july = rows[("srep_2", "2026-07")]
-    assert (july.win_rate, july.average_deal_size) == (0.0, 0.0) and len(july) == 10
+    assert (july.win_rate, july.average_deal_size) == (0.0, 0.0) and len(july) == 11
 
 
 @pytest.fixture
@@ -190,13 +191,15 @@ def test_served_priorities(spark):
 def test_served_performance_and_leads(opportunities, reps, attribution):
     performance = marts.sales_performance(opportunities, reps)
     row = serving.performance_by_rep(performance, sales_rep_id="srep_1", month="2026-08").first()
-    assert (row.total_opportunities, row.won_pipeline_value, row.avg_deal_size, row.open_pipeline_value) == (3, 25000.0, 25000.0, 0.0)
+    assert (row.total_opportunities, row.won_pipeline_value, row.avg_deal_size, row.open_pipeline_value) == (3, 25000.0, 25000.0, 50000.0)
     assert [r.lead_id for r in serving.leads(attribution, lead_source="WEB", is_converted=True).collect()] == ["l1", "l3"]
     assert [r.lead_id for r in serving.leads(attribution, is_converted=False).collect()] == ["l2"]
     sources = {r.lead_source: tuple(r)[1:] for r in serving.lead_sources(attribution).collect()}
     assert sources == {"Web": (1, 1, 1, 25000.0), "web": (1, 1, 0, 0.0)}
-    money = {r.sales_rep_name: tuple(r)[1:] for r in serving.rep_revenue(performance).collect()}
-    assert money == {"Rae": (25000.0, 0.0, 75000.0), "Sam": (0.0, 0.0, 10.0)}
+    money = {r.sales_rep_name: tuple(r)[2:] for r in serving.rep_revenue(performance).collect()}
+    assert money == {"Rae": (25000.0, 50000.0, 75000.0), "Sam": (0.0, 0.0, 10.0)}
+    namesakes = performance.withColumn("sales_rep_name", F.lit("Rae"))
+    assert sorted(r.all_pipeline_value for r in serving.rep_revenue(namesakes).collect()) == [10.0, 75000.0]
 
 
 def test_key_figures(c360, events):
