@@ -23,10 +23,14 @@ give no rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +44,10 @@ from accountweave.llm.tokens import SPECIAL, token_bytes, vocabulary_path
 #: Vocabularies of A and B.
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A page is closed at so many windows, links or documents; that bounds the memory of a task and changes no result.
-PAGE_WINDOWS, PAGE_LINKS, PAGE_DOCUMENTS = 250_000, 2_000_000, 50_000
-#: Texts that are encoded at a time.
-TEXTS = 64
+PAGE_WINDOWS, PAGE_LINKS, PAGE_DOCUMENTS = 150_000, 1_500_000, 50_000
+#: Texts that are encoded at a time; characters of words that a worker remembers the ids of. Only speed depends on these.
+TEXTS, MEMORY = 128, 4_000_000
+_ODD_SPACE = re.compile(r" (?:\s|\Z)")
 _SEPARATOR = b"\xff\xff\xff\xff"
 
 PAGE, DOCUMENT, ANSWER = 0, 2, 1
@@ -69,6 +74,8 @@ class Tokenizers:
         self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.words: dict[str, tuple[bytes, bytes] | None] = {}
+        self.size = 0  # characters of these words
         self.a_length, self.b_length = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([t[:1] == b" " for t in table]) for table in (self.a_bytes, self.b_bytes))
 
@@ -76,13 +83,34 @@ class Tokenizers:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def ids(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B for each text; none where one of them does not join to a space and the text."""
-        for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
-            a = self.a.encode_ordinary(" " + text) if text else []
-            data = b" " + text.encode()
-            whole = b"".join([self.a_bytes[i] for i in a]) == data and b"".join([self.b_bytes[i] for i in b]) == data
-            yield (a, b) if whole else ([], [])
+    def _words(self, words: list[str]) -> None:
+        """Encode words, each with the space before it, and keep the ids where they join to the word."""
+        for word, b in zip(words, self.b.encode(words, num_threads=1), strict=True):
+            a = self.a.encode_ordinary(" " + word)
+            self.words[word] = (array("I", a).tobytes(), array("I", b).tobytes()) if self._whole(word, a, b) else None
+            self.size += len(word)
+
+    def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
+        data = b" " + text.encode()
+        return b"".join([self.a_bytes[i] for i in a]) == data and b"".join([self.b_bytes[i] for i in b]) == data
+
+    def ids(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of A and B for each text, 32 bits each; none where one of them does not join to a space and the text.
+
+        No token of A reaches over a space that a non-space follows, and no piece of B has a space behind another character.
+        So where single spaces stand between words, the ids of a text are those of its words, which are remembered.
+        """
+        if self.size > MEMORY:
+            self.words, self.size = {}, 0
+        split = [None if not t or t[0] == " " or _ODD_SPACE.search(t) else t.split(" ") for t in texts]
+        self._words(list({w for words in split if words for w in words if w not in self.words}))
+        for text, words in zip(texts, split, strict=True):
+            if words:
+                found = [self.words[w] for w in words]
+                yield (b"", b"") if None in found else (b"".join([f[0] for f in found]), b"".join([f[1] for f in found]))
+            else:
+                a, b = (self.a.encode_ordinary(" " + text), self.b.encode(text)) if text else ([], [])
+                yield (array("I", a).tobytes(), array("I", b).tobytes()) if self._whole(text, a, b) else (b"", b"")
 
     def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the space-marked tokens of A and B that start at the same byte."""
@@ -93,12 +121,37 @@ class Tokenizers:
         shared = starts_b[found] == starts_a
         return at_a[shared], at_b[found[shared]]
 
-    def groups(self, a: np.ndarray, b: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and B between neighbouring offsets at which both end."""
+    def shared_ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Offsets at which tokens of both sides end, and the numbers of tokens of A and of B up to each."""
         ends_a, ends_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        cut_a, cut_b = (np.searchsorted(e, both) + 1 for e in (ends_a, ends_b))
-        return list(zip(np.split(a, cut_a[:-1]), np.split(b, cut_b[:-1]), strict=True))
+        found = np.searchsorted(ends_b, ends_a)
+        shared = ends_b[found] == ends_a
+        return ends_a[shared], np.flatnonzero(shared) + 1, found[shared] + 1
+
+
+class Fingerprints:
+    """128 bits for runs of ids: sums of ids times a random number for each place, for two sets of such numbers."""
+
+    def __init__(self):
+        self.random, self.factors = np.random.default_rng(1), np.zeros((4, 0), np.uint64)
+
+    def __call__(self, a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray) -> list[np.ndarray]:
+        places = [np.arange(len(x)) - np.repeat(cut, np.diff(cut, append=len(x))) for x, cut in ((a, cut_a), (b, cut_b))]
+        longest = max(int(p.max()) + 1 for p in places)
+        if longest > self.factors.shape[1]:
+            more = self.random.integers(0, 1 << 64, (4, max(longest, 1024)), np.uint64, endpoint=False)
+            self.factors = np.concatenate([self.factors, more], axis=1)
+        ids = [x.astype(np.uint64) + np.uint64(1) for x in (a, b)]
+        sums = [np.add.reduceat(self.factors[i][places[i % 2]] * ids[i % 2], (cut_a, cut_b)[i % 2]) for i in range(4)]
+        return [sums[0] + sums[1], sums[2] + sums[3]]
+
+
+def first_and_same(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows that agree in both columns the place of one, and for each row the number of its kind."""
+    _, first, kind = np.unique(one, return_index=True, return_inverse=True)
+    if (other[first][kind] != other).any():
+        _, first, kind = np.unique(np.stack([one, other], axis=1), axis=0, return_index=True, return_inverse=True)
+    return first, kind.ravel()
 
 
 @cache
@@ -111,12 +164,14 @@ class Page:
 
     def __init__(self, both: Tokenizers):
         self.both = both
+        self.fingerprints = Fingerprints()
         self.number: dict[bytes, int] = {}  # of a window, by its ids
         self.shown: list[str] = []  # of each window: its groups as text,
         self.n_groups: list[int] = []
         self.n_links: list[int] = []
-        self.links: list[tuple[int, ...]] = []  # the numbers of its pairs,
-        self.times: list[tuple[int, ...]] = []  # and how often it links each
+        self.links: list[list[int]] = []  # the numbers of the pairs of its groups,
+        self.times: list[list[int]] = []  # and how often a group links each
+        self.groups: dict[int | tuple, tuple[str, int, list[int], list[int]]] = {}  # the same of a group, by its ids
         self.pairs: dict[int, int] = {}
         self.counts: Counter[int] = Counter()
         self.documents = self.size = 0
@@ -124,55 +179,75 @@ class Page:
     def full(self, documents: int = PAGE_DOCUMENTS) -> bool:
         return len(self.shown) >= PAGE_WINDOWS or self.size >= PAGE_LINKS or self.documents >= documents
 
-    def _add(self, key: bytes, a: np.ndarray, b: np.ndarray) -> None:
-        groups, linked = self.both.groups(a, b), Counter()
-        for x, y in groups:
-            if len(x) == len(y) == 1:
-                linked[int(x[0]) << 32 | int(y[0])] += 1
-            else:
-                ids, n = np.unique(x, return_counts=True)
-                others, m = np.unique(y, return_counts=True)
-                made = (ids.astype(np.int64)[:, None] << 32 | others).ravel().tolist()
-                for pair, k in zip(made, np.outer(n, m).ravel().tolist(), strict=True):
-                    linked[pair] += k
-        self.number[key] = len(self.shown)
-        self.shown.append(";".join([f"{','.join(map(str, x.tolist()))}|{','.join(map(str, y.tolist()))}" for x, y in groups]))
-        self.n_groups.append(len(groups))
-        self.n_links.append(sum(linked.values()))
-        self.links.append(tuple([self.pairs.setdefault(p, len(self.pairs)) for p in linked]))
-        self.times.append(tuple(linked.values()))
-        self.size += len(linked)
-
-    def document(self, a: list[int], b: list[int]) -> tuple[np.ndarray, str]:
-        """Its windows, by number, and its groups."""
-        self.documents += 1
-        if not a:
-            return np.zeros(0, np.uint32), ""
-        a, b = np.array(a, np.uint32), np.array(b, np.uint32)
+    def _group(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, int, list[int], list[int]]:
+        # Each different pair once, however often its ids occur.
+        linked = [(i << 32 | j, m * n) for i, m in Counter(a).items() for j, n in Counter(b).items()]
+        shown = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+        return shown, len(a) * len(b), [self.pairs.setdefault(p, len(self.pairs)) for p, _ in linked], [n for _, n in linked]
+
+    def _add(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """New windows, one after the other; ``n_a`` and ``n_b`` tell how many ids belong to each."""
+        ends, to_a, to_b = self.both.shared_ends(a, b)
+        from_a, from_b = np.concatenate([[0], to_a[:-1]]), np.concatenate([[0], to_b[:-1]])
+        single = (to_a - from_a == 1) & (to_b - from_b == 1)
+        keys: list[int | tuple] = (a[from_a].astype(np.int64) << 32 | b[from_b]).tolist()
+        for g in np.flatnonzero(~single).tolist():
+            keys[g] = tuple(a[from_a[g] : to_a[g]].tolist()), tuple(b[from_b[g] : to_b[g]].tolist())
+        known = self.groups
+        for key in set(keys).difference(known):
+            known[key] = self._group(*key) if isinstance(key, tuple) else self._group((key >> 32,), (key & 0xFFFFFFFF,))
+        found = [known[key] for key in keys]
+        window_ends = np.cumsum(self.both.a_length[a])[np.cumsum(n_a) - 1]
+        first = 0
+        for last in (np.searchsorted(ends, window_ends) + 1).tolist():
+            own = found[first:last]
+            first = last
+            self.shown.append(";".join([g[0] for g in own]))
+            self.n_groups.append(len(own))
+            self.n_links.append(sum([g[1] for g in own]))
+            self.links.append([x for g in own for x in g[2]])
+            self.times.append([x for g in own for x in g[3]])
+            self.size += len(self.links[-1])
+
+    def documents_of(self, ids: list[tuple[bytes, bytes]]) -> list[tuple[np.ndarray, str]]:
+        """For each document, given by its ids: its windows, by number, and its groups."""
+        self.documents += len(ids)
+        data_a, data_b = b"".join([x for x, _ in ids]), b"".join([y for _, y in ids])
+        if not data_a:
+            return [(np.zeros(0, np.uint32), "")] * len(ids)
+        a, b = np.frombuffer(data_a, np.uint32), np.frombuffer(data_b, np.uint32)
+        # Both sides of each document have the same bytes, so the documents in a row are one text, each starting at a cut.
         cut_a, cut_b = self.both.cuts(a, b)
-        ends_a, ends_b = [*cut_a[1:].tolist(), len(a)], [*cut_b[1:].tolist(), len(b)]
-        at_a, at_b = [0, *ends_a[:-1]], [0, *ends_b[:-1]]
-        data_a, data_b = a.tobytes(), b.tobytes()
-        keys = [data_a[4 * i : 4 * j] + _SEPARATOR + data_b[4 * k : 4 * m] for i, j, k, m in zip(at_a, ends_a, at_b, ends_b, strict=True)]
-        numbers = list(map(self.number.get, keys))
-        if None in numbers:
-            for w, n in enumerate(numbers):
-                if n is None:
-                    if keys[w] not in self.number:
-                        self._add(keys[w], a[at_a[w] : ends_a[w]], b[at_b[w] : ends_b[w]])
-                    numbers[w] = self.number[keys[w]]
-        self.counts.update(set().union(*map(self.links.__getitem__, set(numbers))))
-        return np.array(numbers, np.uint32), ";".join(map(self.shown.__getitem__, numbers))
+        n_a, n_b = np.diff(cut_a, append=len(a)), np.diff(cut_b, append=len(b))
+        first, kind = first_and_same(*self.fingerprints(a, cut_a, b, cut_b))
+        spans = [x.tolist() for x in (cut_a[first] * 4, (cut_a + n_a)[first] * 4, cut_b[first] * 4, (cut_b + n_b)[first] * 4)]
+        keys = [data_a[i:j] + _SEPARATOR + data_b[k:m] for i, j, k, m in zip(*spans, strict=True)]
+        new = [w for w, key in enumerate(keys) if key not in self.number]
+        if new:
+            at = first[new]
+            for w in new:
+                self.number[keys[w]] = len(self.number)
+            picked = [np.repeat(cut[at] - np.cumsum(n[at]) + n[at], n[at]) + np.arange(n[at].sum()) for cut, n in ((cut_a, n_a), (cut_b, n_b))]
+            self._add(a[picked[0]], n_a[at], b[picked[1]], n_b[at])
+        numbers = np.fromiter(map(self.number.__getitem__, keys), np.uint32, len(keys))[kind]
+        ends = np.searchsorted(cut_a, np.cumsum([len(x) // 4 for x, _ in ids])).tolist()
+        out, start = [], 0
+        for end in ends:
+            windows, start = numbers[start:end], end
+            own = windows.tolist()
+            self.counts.update(set().union(*map(self.links.__getitem__, set(own))))
+            out.append((windows, ";".join(map(self.shown.__getitem__, own))))
+        return out
 
     def row(self) -> dict[str, bytes]:
-        flat = lambda lists: np.fromiter((x for one in lists for x in one), np.int64).tobytes()
+        flat = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64).tobytes()
         pairs = np.fromiter(self.pairs, np.int64, len(self.pairs))
         return {
             "sizes": np.fromiter(map(len, self.links), np.int64, len(self.links)).tobytes(),
             "links": flat(self.links),
             "times": flat(self.times),
             "pairs": pairs.tobytes(),
-            "counts": np.fromiter((self.counts[i] for i in range(len(pairs))), np.int64, len(pairs)).tobytes(),
+            "counts": np.fromiter(map(self.counts.__getitem__, range(len(pairs))), np.int64, len(pairs)).tobytes(),
         }
 
 
@@ -183,6 +258,7 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, id_column
     fields = _FIELDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # pages hold very many small objects, and no cycles
         both = tokenizers(a, b)
         page, number, kind = Page(both), TaskContext.get().partitionId() << 32, None
 
@@ -195,12 +271,12 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, id_column
             kind, texts = batch.column("id").type, batch.column("text").to_pylist()
             for i in range(0, len(texts), TEXTS):
                 out: list[dict] = []
-                for x, y in both.ids(texts[i : i + TEXTS]):
-                    windows, groups = page.document(x, y)
+                ids = list(both.ids(texts[i : i + TEXTS]))
+                for (x, y), (windows, groups) in zip(ids, page.documents_of(ids), strict=True):
                     n_groups, n_links = (sum(map(s.__getitem__, windows.tolist())) for s in (page.n_groups, page.n_links))
                     if digest and groups:
                         groups = hashlib.sha256(groups.encode()).hexdigest()
-                    out.append({"page": number, "kind": DOCUMENT, "n_a": len(x), "n_b": len(y), "n_groups": n_groups, "n_links": n_links, "groups": groups, "windows": windows.tobytes()})
+                    out.append({"page": number, "kind": DOCUMENT, "n_a": len(x) // 4, "n_b": len(y) // 4, "n_groups": n_groups, "n_links": n_links, "groups": groups, "windows": windows.tobytes()})
                 columns = [batch.column("id").slice(i, TEXTS)] + [pa.array([r.get(f.name) for r in out], f.type) for f in fields]
                 yield pa.record_batch(columns, names=["id", *fields.names])
                 if page.full(page_documents):

@@ -4,6 +4,7 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from accountweave.llm import cross_align
@@ -106,14 +107,22 @@ def test_small_pages(documents):
 def test_page_limits():
     both = cross_align.tokenizers(vocabulary_path(cross_align.A), vocabulary_path(cross_align.B))
     page = cross_align.Page(both)
-    for x, y in both.ids(["one two three"] * 3):
-        windows, _ = page.document(x, y)
-    assert len(windows) == 3 == len(page.shown) and set(page.counts.values()) == {3}
+    for _ in range(2):
+        (windows, _), (again, _), (empty, _), (more, _) = page.documents_of(list(both.ids(["one two three"] * 2 + ["", "three"])))
+    assert windows.tolist() == again.tolist() and more.tolist() == windows.tolist()[2:] and not len(empty)
+    assert len(windows) == 3 == len(page.shown) and set(page.counts.values()) == {4, 6}
     assert not page.full()
     page.documents = cross_align.PAGE_DOCUMENTS
     assert page.full()
 
 
+def test_fingerprints_that_clash_in_one_half():
+    one, other = np.array([5, 5, 5, 7], np.uint64), np.array([1, 2, 1, 1], np.uint64)
+    first, kind = cross_align.first_and_same(one, other)
+    assert len(first) == 3 and kind[0] == kind[2] and len(set(kind.tolist())) == 3
+    assert all(one[first[k]] == x and other[first[k]] == y for k, x, y in zip(kind, one, other, strict=True))
+
+
 def test_digest_and_pairs(documents):
     docs = documents(["the cat", "the dog", "the", None])
     shown = {r[0]: r[-1] for r in got(docs, digest=False)}
