@@ -49,13 +49,14 @@ def flat_events(landed: DataFrame) -> DataFrame:
 
 
 def _links_by(identities: DataFrame, key: str, name: str) -> DataFrame:
-    """One row per key: the greatest contact id, then the greatest account id with it (nulls sort lowest)."""
-    best = F.max(F.struct("contact_id", "account_id"))
+    """One row per key, by the rule of ``visitor_links``: the greatest contact, and the account that goes with the
+    greatest contact having one. A known account is not lost to a greater contact without one."""
+    known_account = F.when(F.col("account_id").isNotNull(), F.struct("contact_id", "account_id"))
     return (
         identities.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(best.alias("b"))
-        .select(key, F.col("b.contact_id").alias(f"{name}_contact_id"), F.col("b.account_id").alias(f"{name}_account_id"))
+        .agg(F.max("contact_id").alias(f"{name}_contact_id"), F.max(known_account).alias("a"))
+        .select(key, f"{name}_contact_id", F.col("a.account_id").alias(f"{name}_account_id"))
     )
 
 

@@ -98,6 +98,10 @@ def identity_sources(
     union = event_tuples(events).unionByName(contact_tuples(contacts)).unionByName(account_tuples(accounts))
     if existing is not None:
         union = union.unionByName(known_tuples(existing))
+    return aggregate_tuples(union)
+
+
+def aggregate_tuples(union: DataFrame) -> DataFrame:
     return (
         union.where(F.coalesce(*KEYS).isNotNull())
         .groupBy(*KEYS, "direct_contact", "direct_account")
@@ -105,6 +109,12 @@ def identity_sources(
     )
 
 
+def merge_tuples(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Aggregated tuples of two sources as one table."""
+    both = one.unionByName(other).withColumnsRenamed({"first_seen_at": "seen_from", "last_seen_at": "seen_to"})
+    return aggregate_tuples(both)
+
+
 def contacts_by_email(contacts: DataFrame) -> DataFrame:
     """One contact (the smallest id) and its account per email."""
     first = F.min(F.struct("contact_id", "account_id"))
@@ -195,8 +205,13 @@ def identity_map(
         match_email(tuples, contacts, hot_rows), accounts, key_counts(tuples, ["domain"]), hot_rows
     )
     groups = stage(resolve_groups(matched), "identity_groups", stage_folder)
+    return with_identity_id(stitch(groups, hot_rows))
+
+
+def with_identity_id(stitched: DataFrame) -> DataFrame:
+    """Stitched groups with their id, a hash of all three keys, and the time of the run."""
     parts = [F.coalesce(k, F.lit("")) for k in KEYS]
-    return stitch(groups, hot_rows).select(
+    return stitched.select(
         F.concat(F.lit("idn_"), F.sha2(F.concat_ws("||", *parts), 256)).alias("identity_id"),
         "*",
         F.current_timestamp().alias("updated_at"),

@@ -29,6 +29,20 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_KEY_ROW
     return counts.where(F.col("_n") > hot_rows).select(*keys, chunks)
 
 
+def _is_small(df: DataFrame) -> bool:
+    """Whether Spark would broadcast ``df``, by the size that it estimates."""
+    session = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= session.autoBroadcastJoinThreshold()
+
+
+def _is_table(df: DataFrame) -> bool:
+    """Whether ``df`` only filters and projects the rows of files."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName().startswith(("LogicalRelation", "Relation"))
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -46,9 +60,17 @@ def lookup_join(
     first, so Spark knows the true sizes of all sides and chooses broadcast or shuffle by them.
 
     ``counts`` gives the rows per key (key columns and ``_n``, one row per key) where the caller has them already;
-    else they are counted on ``left``, which reads its key columns once more. They only set the chunk numbers.
+    else they are counted on ``left``. That reads its key columns once more, so a ``left`` that is no table yet but the
+    result of joins or aggregations is written first and not computed twice. Counts only set the chunk numbers.
+
+    A ``lookup`` that Spark's own estimate puts below its broadcast threshold is broadcast, and nothing is counted,
+    dealt or written: no row of ``left`` moves then, so no key can be hot.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if _is_small(lookup):
+        return left.join(lookup, keys, "left")
+    if counts is None and not _is_table(left):
+        left = stage(left, "lookup-left")
     hot = stage(hot_keys(key_counts(left, keys) if counts is None else counts, keys, hot_rows), "hot-keys")
     deal = F.xxhash64(*spread_by)
     no_match = reduce(or_, (F.col(k).isNull() for k in keys))

@@ -11,8 +11,9 @@ from checks.queries import DESCRIBE_TEXT, MESSAGE_TEXT
 
 AS_OF = "date '2024-01-31'"
 K = "(user_id * 10 + event_id % 10)"
-TYPE = """case event_type when 'view' then 'website_visit' when 'click' then 'product_page_view'
- when 'signup' then 'demo_request' when 'purchase' then 'pricing_page_view' else 'unknown' end"""
+TYPE = """case when event_type = 'view' and event_id % 3 = 0 then 'documentation_view' when event_type = 'view' then 'website_visit'
+ when event_type = 'click' and event_id % 4 = 1 then 'brochure_download' when event_type = 'click' then 'product_page_view'
+ when event_type = 'signup' then 'demo_request' when event_type = 'purchase' then 'pricing_page_view' else 'unknown' end"""
 PUBLIC = "('gmail.com','yahoo.com','hotmail.com','outlook.com','icloud.com','aol.com','protonmail.com','zoho.com','mail.com')"
 
 
@@ -270,10 +271,32 @@ VIEWS = {
         from id_groups window w as (partition by anonymous_id
           order by contact_id desc nulls last, account_id desc nulls last
           rows between unbounded preceding and unbounded following)""",
-    "anon_links": """select anonymous_id, contact_id, account_id from id_stitched where anonymous_id is not null
-        qualify row_number() over (partition by anonymous_id order by contact_id desc nulls last, account_id desc nulls last) = 1""",
-    "email_links": """select email, contact_id, account_id from id_stitched where email is not null
-        qualify row_number() over (partition by email order by contact_id desc nulls last, account_id desc nulls last) = 1""",
+    # The map once more, with its own rows as tuples that carry direct ids.
+    "id_again": f"""select anonymous_id, email, domain, direct_contact, direct_account, min(f) as f, max(l) as l from (
+        select * from id_tuples union all
+        select anonymous_id, email, {company('domain')}, regexp_replace(contact_id, '^cnt_', ''), regexp_replace(account_id, '^acc_', ''), f, l
+        from (select anonymous_id, email, domain, contact_id, account_id, f, l from id_stitched))
+        where anonymous_id is not null or email is not null or domain is not null group by 1, 2, 3, 4, 5""",
+    "id_groups_again": """select t.anonymous_id, t.email, t.domain,
+        max(coalesce('cnt_'||t.direct_contact, e.email_contact_id)) as contact_id,
+        max(coalesce('acc_'||t.direct_account, e.email_account_id, d.domain_account_id)) as account_id,
+        min(f) as f, max(l) as l
+        from id_again t left join by_email e on t.email = e.email left join by_domain d on t.domain = d.domain
+        group by 1, 2, 3""",
+    "id_stitched_again": """select anonymous_id, email, domain, f, l,
+        case when anonymous_id is null then contact_id else first_value(contact_id ignore nulls) over w end as contact_id,
+        case when anonymous_id is null then account_id else first_value(account_id ignore nulls) over w end as account_id
+        from id_groups_again window w as (partition by anonymous_id
+          order by contact_id desc nulls last, account_id desc nulls last
+          rows between unbounded preceding and unbounded following)""",
+    "anon_links": """select distinct anonymous_id, max(contact_id) over (partition by anonymous_id) as contact_id,
+        first_value(account_id ignore nulls) over (partition by anonymous_id order by contact_id desc nulls last,
+          account_id desc nulls last rows between unbounded preceding and unbounded following) as account_id
+        from id_stitched where anonymous_id is not null""",
+    "email_links": """select distinct email, max(contact_id) over (partition by email) as contact_id,
+        first_value(account_id ignore nulls) over (partition by email order by contact_id desc nulls last,
+          account_id desc nulls last rows between unbounded preceding and unbounded following) as account_id
+        from id_stitched where email is not null""",
     "flat_event": """select * replace (lower(trim(email)) as email) from l_event where event_id is not null
         qualify row_number() over (partition by event_id order by happened desc, _kafka_partition desc, _kafka_offset desc) = 1""",
     "s_event": f"""select v.event_id, v.event_type, v.happened, coalesce(a.contact_id, e.contact_id) as contact_id,
@@ -397,6 +420,10 @@ QUERIES = {
     "identity_stitch": "select anonymous_id, email, domain, contact_id, account_id from id_stitched",
     "identity_map": f"""select 'idn_' || {IDN} as identity_id, anonymous_id, email, domain, contact_id, account_id, {SEEN}
         from id_stitched""",
+    "identity_map_with_existing": f"""select 'idn_' || {IDN} as identity_id, anonymous_id, email, domain, contact_id, account_id, {SEEN}
+        from id_stitched_again""",
+    "identity_map_incremental": f"""select 'idn_' || {IDN} as identity_id, anonymous_id, email, domain, contact_id, account_id, {SEEN}
+        from id_stitched""",
     "silver_customer_event": f"""select event_id, event_type, strftime(happened, '%Y-%m-%d %H:%M:%S') as event_timestamp, contact_id,
         account_id, anonymous_id, email, domain, url, plan_interest, duration_seconds,
         case event_type when 'website_visit' then 'low' when 'product_page_view' then 'medium' when 'documentation_view' then 'medium'
@@ -448,15 +475,23 @@ QUERIES = {
     "opps_per_account": "select * from per_opp",
     "trailing_activity": "select account_id, last_activity_at, events_last_7d, events_last_30d from per_event",
     "intent_14d": "select * from recent",
-    "incremental_extract": """select 'lead' as object_name, Id, SystemModstamp, 'salesforce' as _source_system, 'batch' as _batch_id
-        from landed_lead_all where l_shipdate > timestamp '1998-06-30'
-        union all select 'opportunity_contact_role', Id, SystemModstamp, 'salesforce', 'batch'
-        from landed_lead_all where l_shipdate > timestamp '1998-06-30'
-        union all select 'account', Id, SystemModstamp, 'salesforce', 'batch' from landed_account_all""",
+    "incremental_extract": """select *, 'salesforce' as _source_system, 'batch' as _batch_id from (
+        select 'lead' as object_name, Id, SystemModstamp from landed_lead_all where l_shipdate > timestamp '1998-06-30'
+        union all select 'opportunity_contact_role', Id, SystemModstamp from landed_lead_all where l_shipdate > timestamp '1997-01-01'
+        union all select 'account', Id, SystemModstamp from landed_account_all
+          where cast(replace(SystemModstamp, 'Z', '') as timestamp) > timestamp '2023-12-31'
+        union all select 'contact', Id, SystemModstamp from landed_contact_all
+          where cast(replace(SystemModstamp, 'Z', '') as timestamp) > timestamp '2023-06-01'
+        union all select 'opportunity', Id, SystemModstamp from landed_opp_now
+        union all select 'opportunity', Id, '2023-06-01T00:00:00Z' from landed_opp_now
+        union all select 'user', cast(s_suppkey as varchar), '2024-01-02T08:30:00Z' from supplier)""",
     "high_water_mark": """select 'lead' as object_name, strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') as high_water,
         count(*) as row_count from lineitem
+        union all select 'opportunity_contact_role', strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S'), count(*) from lineitem
         union all select 'account', '2024-01-02 08:30:00', count(*) from landed_account_all
-        union all select 'opportunity', '2030-01-01 00:00:00', 2 * count(*) from orders""",
+        union all select 'contact', '2024-01-03 09:00:00', count(*) from landed_contact_all
+        union all select 'opportunity', '2030-01-01 00:00:00', 2 * count(*) from orders
+        union all select 'user', '2024-01-02 08:30:00', 2 * count(*) from supplier""",
     "event_contract_violations": f"""select message_no, array_to_string(codes, ',') as violations,
         cast(len(codes) as int) as violation_count from (
           select message_no, case when j is not null then list_filter([{CONTRACT}], lambda c: c is not null) else ['malformed'] end as codes

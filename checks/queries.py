@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountweave import functions as fn
-from accountweave.operators import catalog, contract, events, identity, quality
+from accountweave.operators import catalog, contract, events, identity, identity_update, quality
+from accountweave.operators.crm import ACCOUNT, CONTACT, canonical
 from accountweave.operators.joins import key_counts
 from accountweave.plans import marts, serving
 from accountweave.sources import landing
@@ -189,6 +191,26 @@ def identity_map(t: Tables) -> DataFrame:
     return shown(found, instants=SEEN, drop=["updated_at"])
 
 
+@query
+def identity_map_with_existing(t: Tables) -> DataFrame:
+    """The map made once more, with the first one as a source."""
+    found = identity.identity_map(t.landed_events, t.written_contacts, t.written_accounts, _identities(t))
+    return shown(found, instants=SEEN, drop=["updated_at"])
+
+
+@query
+def identity_map_incremental(t: Tables) -> DataFrame:
+    """The map of older events and older copies of the CRM records, brought up to date by the newer ones."""
+    new = F.coalesce(F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp"), F.lit(True))
+    old_contacts, old_accounts = (
+        stage(canonical(entity, landed.where(F.col("SystemModstamp") < "2024")), "older")
+        for entity, landed in ((CONTACT, t.landed_contacts), (ACCOUNT, t.landed_accounts))
+    )
+    state = identity_update.first_state(t.landed_events.where(~new), old_contacts, old_accounts)
+    state = identity_update.updated(state, t.landed_events.where(new), t.written_contacts, t.written_accounts)
+    return shown(state["identities"], instants=SEEN, drop=["updated_at"])
+
+
 @query
 def silver_customer_event(t: Tables) -> DataFrame:
     return shown(events.customer_events(t.landed_events, _identities(t)), instants=["event_timestamp"], drop=NOW)
@@ -348,35 +370,54 @@ def intent_14d(t: Tables) -> DataFrame:
 # Incremental landing and the event contract.
 
 
+def _landed(t: Tables) -> dict[str, DataFrame]:
+    return {
+        "user": t.landed_users,
+        "account": t.landed_accounts,
+        "contact": t.landed_contacts,
+        "lead": t.landed_leads,
+        "opportunity": t.landed_opportunities,
+        "opportunity_contact_role": t.landed_roles,
+    }
+
+
+# Marks from before all rows, between two copies, at the very time of one, and none.
+EXTRACT_MARKS = {
+    "user": "2024-01-01T23:59:59+00:00",
+    "account": "2023-12-31T00:00:00Z",
+    "contact": "2023-06-01T00:00:00Z",
+    "lead": "1998-06-30T00:00:00Z",
+    "opportunity_contact_role": "1997-01-01T01:00:00+01:00",
+}
+EARLIER_MARKS = {
+    "user": "2024-01-02T08:30:00Z",
+    "account": "2023-12-31T00:00:00Z",
+    "opportunity": "2030-01-01T00:00:00Z",
+    "opportunity_contact_role": "1990-01-01T00:00:00Z",
+}
+
+
 @query
 def incremental_extract(t: Tables) -> DataFrame:
-    """Rows of three objects modified after a mark, in landing form without the batch columns."""
+    """Rows of all six objects modified after a mark, in landing form without the time of the batch."""
     changed = [
-        landing.extract(source, name, "1998-06-30T00:00:00Z", "batch").select(
+        landing.extract(source, name, EXTRACT_MARKS.get(name), "batch").select(
             F.lit(name).alias("object_name"), "Id", "SystemModstamp", "_source_system", "_batch_id"
         )
-        for name, source in (
-            ("lead", t.landed_leads),
-            ("opportunity_contact_role", t.landed_roles),
-            ("account", t.landed_accounts),
-        )
+        for name, source in _landed(t).items()
     ]
-    return changed[0].unionByName(changed[1]).unionByName(changed[2])
+    return reduce(DataFrame.unionByName, changed)
 
 
 @query
 def high_water_mark(t: Tables) -> DataFrame:
     marks = [
-        source.agg(instant(landing.high_water(previous)).alias("high_water"), F.count("*").alias("row_count")).select(
-            F.lit(name).alias("object_name"), "high_water", "row_count"
-        )
-        for name, source, previous in (
-            ("lead", t.landed_leads, None),
-            ("account", t.landed_accounts, "2023-12-31T00:00:00Z"),
-            ("opportunity", t.landed_opportunities, "2030-01-01T00:00:00Z"),
-        )
+        source.agg(
+            instant(landing.high_water(EARLIER_MARKS.get(name))).alias("high_water"), F.count("*").alias("row_count")
+        ).select(F.lit(name).alias("object_name"), "high_water", "row_count")
+        for name, source in _landed(t).items()
     ]
-    return marks[0].unionByName(marks[1]).unionByName(marks[2])
+    return reduce(DataFrame.unionByName, marks)
 
 
 # Members of a message, each good or broken in one way (also used, as is, by the SQL side).

@@ -20,7 +20,10 @@ from accountweave.streaming.events import parse_events
 
 AS_OF = "2024-01-31"
 
-EVENT_TYPE = """case event_type when 'view' then 'website_visit' when 'click' then 'product_page_view'
+# All six event types, and one that is unknown.
+EVENT_TYPE = """case event_type
+ when 'view' then case when event_id % 3 = 0 then 'documentation_view' else 'website_visit' end
+ when 'click' then case when event_id % 4 = 1 then 'brochure_download' else 'product_page_view' end
  when 'signup' then 'demo_request' when 'purchase' then 'pricing_page_view' else 'unknown' end"""
 
 # The customer an event points at.

@@ -1,3 +1,5 @@
+import re
+
 from accountweave.operators.dedup import keep_latest
 
 
@@ -7,11 +9,17 @@ def test_newest_wins_and_nulls_come_last(spark):
 
 
 def test_ties_do_not_depend_on_row_order(spark):
-    rows = [("a", "1", v, {"m": v}) for v in ("p", "r", "q")]
+    rows = [("a", "1", v, {"m": v, "n": "x"}) for v in ("p", "r", "q")]
     schema = "k string, t string, v string, m map<string,string>"
-    for order in (rows, rows[::-1]):
-        kept = keep_latest(spark.createDataFrame(order, schema), ["k"], ["t"]).collect()
-        assert [(r.v, r.m) for r in kept] == [("r", {"m": "r"})]
+    kept = [keep_latest(spark.createDataFrame(order, schema), ["k"], ["t"]).collect() for order in (rows, rows[::-1], rows[1:] + rows[:1])]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]
+
+
+def test_rows_are_sorted_by_key_newest_and_one_hash(spark):
+    schema = "k string, t string, " + ", ".join(f"c{i} string" for i in range(20)) + ", m map<string,string>"
+    plan = keep_latest(spark.createDataFrame([], schema), ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()
+    sorts = [line.split("[", 1)[1].split("]")[0] for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all([re.sub(r"#.*", "", c) for c in s.split(", ")] == ["k", "t", "_tie"] for s in sorts)
 
 
 def test_hot_key_is_cut_down_before_the_shuffle(spark):

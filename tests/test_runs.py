@@ -1,9 +1,14 @@
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
+from accountweave.operators.identity import identity_map
 from accountweave.operators.quality import integrity_report
 from accountweave.plans import marts, serving
 from accountweave.plans.runs import build_gold, build_silver
-from accountweave.sources import tables
+from accountweave.plans.upkeep import days_of, refresh_days
+from accountweave.sources import tables, versions
 from accountweave.sources.landing import MarkLog, land_all
 from accountweave.sources.tables import read_table, write_table
 from checks.queries import QUERIES
@@ -202,6 +207,59 @@ def test_a_failed_update_keeps_every_identity(spark, lake, monkeypatch):
     assert {r.identity_id for r in table(spark, silver, "identity").collect()} == before
 
 
+def test_incremental_identities_equal_a_rebuild(spark, lake, tmp_path):
+    """A first run, a run with a second half of the events, and a run with nothing new."""
+    bronze = lake[0].removesuffix("silver") + "bronze"
+    events = spark.read.parquet(f"{bronze}/events")
+    base = str(tmp_path)
+    for name in ("account", "contact", "lead", "opportunity", "user"):
+        spark.read.parquet(f"{bronze}/salesforce/{name}").write.parquet(f"{base}/salesforce/{name}")
+    early = F.col("_kafka_offset") % 3 > 0
+    stamped = events.withColumn("_ingested_at", F.when(early, F.lit("2024-03-01")).otherwise(F.lit("2024-03-02")).cast("timestamp"))
+    stamped.where(early).write.parquet(f"{base}/events")
+    rows = build_silver(spark, base, f"{base}/silver", incremental_identities=True)
+    assert rows["identity"] > 0
+    stamped.where(~early).write.mode("append").parquet(f"{base}/events")
+    build_silver(spark, base, f"{base}/silver", incremental_identities=True)
+    want = identity_map(stamped, *(table(spark, f"{base}/silver", n) for n in ("contact", "account"))).drop("updated_at")
+    for _ in range(2):
+        got = table(spark, f"{base}/silver", "identity").drop("updated_at").select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        build_silver(spark, base, f"{base}/silver", incremental_identities=True)
+
+
+def files_below(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_late_events_change_only_their_days(spark, lake, tmp_path):
+    """Days with new events, a day that loses its last resolved event, and a day that had none."""
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    events = table(spark, lake[0], "customer_event")
+    days = [r.event_day for r in events.where("account_id is not null").select("event_day").distinct().orderBy("event_day").limit(4).collect()]
+    first = events.where(f"event_day <> '{days[3]}'")
+    write_table(first, silver, "customer_event", ["event_day"])
+    assert refresh_days(spark, silver, gold, []) == 0
+    refresh_days(spark, silver, gold, [r.event_day for r in first.select("event_day").distinct().collect() if r.event_day])
+    folder = Path(versions.current(spark, f"{gold}/intent_engagement"))
+    before = files_below(folder)
+
+    late = events.where(f"event_day in ('{days[0]}', '{days[3]}')").withColumn("event_id", F.concat("event_id", F.lit("-late")))
+    gone = F.when(F.col("event_day") != F.lit(days[1]), F.col("account_id"))
+    now = first.withColumn("account_id", gone).unionByName(late)
+    write_table(now, silver, "customer_event", ["event_day"])
+    assert refresh_days(spark, silver, gold, [*days_of(late), days[1]]) > 0
+    after = files_below(folder)
+    touched = {f"event_date={d}" for d in (days[0], days[1], days[3])}
+    assert {n: t for n, t in before.items() if n.split("/")[0] not in touched} == {n: t for n, t in after.items() if n.split("/")[0] not in touched}
+    assert not any(n.startswith(f"event_date={days[1]}/") for n in after) and any(n.startswith(f"event_date={days[3]}/") for n in after)
+    got = table(spark, gold, "intent_engagement").drop("gold_processed_at")
+    want = marts.intent_engagement(table(spark, silver, "customer_event")).select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = plan_of(marts.intent_engagement(read_table(spark, silver, "customer_event").where(F.col("event_day").isin(days[0]))))
+    assert "PartitionFilters: [isnotnull(event_day" in plan
+
+
 def test_versions(spark, tmp_path):
     """A new version may be made from the one before; old ones go, and what a dead writer left."""
     base = str(tmp_path)
