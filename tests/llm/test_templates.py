@@ -31,9 +31,10 @@ def test_copies_and_new_parameters(spark, documents):
     around = lambda t: f"{words(r, 30)}. {t} {words(r, 30)}"
     texts = [around(ITEM), around(changed), around(changed.upper()), words(r, 400), around(other), ITEM[:20], None, "", around("x " + ITEM + " y " + ITEM)]
     got = found(spark, documents, texts, [(7, ITEM), (8, words(r, 20)), (9, "too short to tell"), (10, None)])
-    assert [i for i in got if got[i]] == [0, 1, 8]
-    assert all(got[i] == ["7"] for i in (0, 1, 8))
-    assert found(spark, documents, [around(mixed)], [(1, ITEM)])[0] in ([], ["1"])
+    assert [i for i in got if got[i]] == [0, 1, 2, 8]
+    assert all(got[i] == ["7"] for i in (0, 1, 2, 8))
+    # Two names of four are others, so slots clash; windows that hold none of these stand as they are and are half of the item.
+    assert found(spark, documents, [around(mixed)], [(1, ITEM)])[0] == ["1"]
 
 
 def test_inconsistent_slots_are_no_match(spark, documents):
