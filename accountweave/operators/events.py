@@ -13,6 +13,7 @@ from accountweave.sources.staging import stage
 SOURCE_SYSTEM = "digital_events"
 NEWEST = ("timestamp", "_ingested_at", "_kafka_partition", "_kafka_offset")
 
+# Columns that make the record hash, in hash order, and columns of the canonical table.
 HASHED = (
     "event_type", "event_timestamp", "anonymous_id", "email", "contact_id", "account_id", "url", "duration_seconds",
 )

@@ -9,6 +9,7 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType(), True) for name in names]
 
 
+# Members of an event message and columns of the landed event table.
 IDENTITY_FIELDS = ("sfdc_contact_id", "sfdc_account_id", "anonymous_id", "email", "domain")
 
 EVENT_MESSAGE = T.StructType(
@@ -84,6 +85,7 @@ def landed_crm(object_name: str) -> T.StructType:
     return T.StructType(fields + landing)
 
 
+# Columns of the identity map.
 IDENTITY = T.StructType(
     [
         *_strings("identity_id", "anonymous_id", "email", "domain", "contact_id", "account_id"),

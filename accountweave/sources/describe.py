@@ -1,4 +1,4 @@
-"""Describe documents of CRM objects: one JSON file per object, with a ``fields`` array."""
+"""Describe documents: one JSON file per CRM object, with a ``fields`` array, and a global one with all objects."""
 
 from __future__ import annotations
 
@@ -24,3 +24,21 @@ def parse_describes(df: DataFrame, name: str, payload: str) -> DataFrame:
     """The same from documents held as text in a column."""
     parsed = F.from_json(payload, DESCRIBE_SCHEMA)
     return df.select(F.col(name).alias("object_name"), parsed["fields"].alias("fields"))
+
+
+OBJECT = "struct<name:string,label:string,queryable:boolean,retrieveable:boolean,createable:boolean,updateable:boolean,custom:boolean>"
+GLOBAL_SCHEMA = f"sobjects array<{OBJECT}>"
+
+
+def _objects(documents: DataFrame) -> DataFrame:
+    return documents.select(F.explode("sobjects").alias("o")).select("o.*").withColumnRenamed("name", "object_name")
+
+
+def read_objects(spark: SparkSession, path: str) -> DataFrame:
+    """Global describe documents -> one row per object: object_name, label and its flags."""
+    return _objects(spark.read.schema(GLOBAL_SCHEMA).option("multiLine", True).json(path))
+
+
+def parse_objects(df: DataFrame, payload: str) -> DataFrame:
+    """The same from documents held as text in a column."""
+    return _objects(df.select(F.from_json(payload, GLOBAL_SCHEMA)["sobjects"].alias("sobjects")))

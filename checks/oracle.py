@@ -236,7 +236,7 @@ VIEWS = {
         from events, (values (0), (1), (2)) as v(copy)""",
     "l_event": """select case when not bad then 'evt_'||n end as event_id, case when not bad then etype end as event_type,
         case when not bad then happened end as happened,
-        case when not bad and n % 100 = 57 then cast(cust as varchar) end as sfdc_contact_id,
+        case when bad then null when cust % 230 = 92 then '9' || cust when n % 100 = 57 then cast(cust as varchar) end as sfdc_contact_id,
         case when not bad and n % 50 = 7 then cast(cust as varchar) end as sfdc_account_id,
         case when not bad and n % 20 <> 0 then 'anon_'||cust end as anonymous_id,
         case when not bad and n % 4 = 0 then ' USER'||cust||'@d'||cust||'.Example.com' end as email,
@@ -308,10 +308,19 @@ VIEWS = {
         f->>'type' as data_type, cast(f->>'nillable' as boolean) as nillable
         from (select object_name, unnest(cast(json_extract(doc, '$.fields') as json[])) as f from described)""",
     "chosen": "select distinct p_brand as object_name, p_type as field_name from part where p_size % 3 > 0",
+    "objects_listed": r"""select n as object_name, label, case when n like '%\_\_c' escape '\' then 'Custom Object'
+        when n like '%\_\_change\_event' escape '\' then 'CDC Event Object'
+        when n like '%\_\_Share' escape '\' or n like '%\_\_History' escape '\' then 'System / Security'
+        else 'Standard Object' end as object_type, queryable, retrieveable, createable, updateable, custom
+        from (select replace(s_name, '#', '_') || case s_suppkey % 5 when 0 then '__c' when 1 then '__change_event'
+            when 2 then '__Share' when 3 then '__History' else '' end as n, 'Label ' || s_suppkey as label,
+            s_suppkey % 2 = 0 as queryable, true as retrieveable, s_suppkey % 3 = 0 as createable, false as updateable,
+            s_suppkey % 5 = 0 as custom from supplier
+          union all select 'Nation' || s_nationkey, null, true, false, null, true, false from supplier)""",
     "inventory": """select l.*, case when c.field_name is not null then 'Required' else 'Optional / Evaluate' end as selection
         from listed l left join chosen c using (object_name, field_name)
         union all
-        select distinct object_name, 'Owner.Name', 'Relationship', 'Owner.Name (relationship)', 'reference_field', true,
+        select distinct object_name, 'Owner.Name', 'Relationship Traversal', 'Owner.Name (SOQL Relationship Traversal)', 'reference_field', true,
           'Required' from chosen""",
 }
 
@@ -573,10 +582,13 @@ QUERIES = {
     "field_inventory": """select object_name, field_name, field_type, data_type, nillable, selection, count(*) as fields,
         min(label) as first_label from inventory group by 1, 2, 3, 4, 5, 6""",
     "field_count_pivot": """select object_name, count(*) filter (field_type = 'Direct') as "Direct",
-        count(*) filter (field_type = 'Relationship') as "Relationship", count(*) as total_required
+        count(*) filter (field_type = 'Relationship Traversal') as "Relationship Traversal", count(*) as total_required
         from inventory where selection = 'Required' group by 1""",
     "names_per_group": """select object_name, string_agg(distinct field_name, ', ' order by field_name) as names,
         count(distinct field_name) as name_count from inventory where selection = 'Required' group by 1""",
+    "object_inventory": "select * from objects_listed",
+    "object_type_breakdown": "select object_type, count(*) as objects from objects_listed group by 1",
+    "custom_objects": "select object_name, label from objects_listed where custom",
     "object_type_classify": """select n as object_name, case when n like '%\\_\\_c' escape '\\' then 'Custom Object'
         when n like '%\\_\\_change\\_event' escape '\\' then 'CDC Event Object'
         when n like '%\\_\\_Share' escape '\\' or n like '%\\_\\_History' escape '\\' then 'System / Security'

@@ -14,7 +14,7 @@ from accountweave.operators.crm import ACCOUNT, CONTACT, canonical
 from accountweave.operators.joins import key_counts
 from accountweave.plans import marts, serving
 from accountweave.sources import landing
-from accountweave.sources.describe import parse_describes
+from accountweave.sources.describe import parse_describes, parse_objects
 from accountweave.sources.staging import stage
 from checks.tables import AS_OF, Tables
 
@@ -603,7 +603,7 @@ def _inventory(t: Tables) -> DataFrame:
         parts.where(F.col("p_size") % 3 > 0)
         .selectExpr(
             "p_brand as object_name",
-            "explode(array(struct(p_type as field_name, 'Direct' as field_type), struct('Owner.Name' as field_name, 'Relationship' as field_type))) as s",
+            "explode(array(struct(p_type as field_name, 'Direct' as field_type), struct('Owner.Name' as field_name, 'Relationship Traversal' as field_type))) as s",
         )
         .select("object_name", "s.*")
         .distinct()
@@ -620,7 +620,7 @@ def field_inventory(t: Tables) -> DataFrame:
 @query
 def field_count_pivot(t: Tables) -> DataFrame:
     required = _inventory(t).where(F.col("selection") == catalog.REQUIRED)
-    return catalog.count_pivot(required, "object_name", "field_type", ["Direct", "Relationship"], "total_required")
+    return catalog.count_pivot(required, "object_name", "field_type", [catalog.DIRECT, catalog.RELATIONSHIP], "total_required")
 
 
 @query
@@ -629,6 +629,34 @@ def names_per_group(t: Tables) -> DataFrame:
     return catalog.names_per_group(required, "object_name", "field_name")
 
 
+# Global describe documents, one per supplier, with two objects each.
+OBJECTS_TEXT = """concat('{"more":1,"sobjects":[{"name":"', replace(s_name, '#', '_'),
+  case s_suppkey % 5 when 0 then '__c' when 1 then '__change_event' when 2 then '__Share' when 3 then '__History' else '' end,
+  '","label":"Label ', s_suppkey, '","queryable":', case when s_suppkey % 2 = 0 then 'true' else 'false' end,
+  ',"retrieveable":true,"createable":', case when s_suppkey % 3 = 0 then 'true' else 'false' end,
+  ',"updateable":false,"custom":', case when s_suppkey % 5 = 0 then 'true' else 'false' end, ',"other":[1]},',
+  '{"name":"Nation', s_nationkey, '","label":null,"queryable":true,"retrieveable":false,"createable":null,"updateable":true,"custom":false}]}')"""
+
+
+def _objects(t: Tables) -> DataFrame:
+    return catalog.object_inventory(parse_objects(t.source("supplier").selectExpr(f"{OBJECTS_TEXT} as doc"), "doc"))
+
+
+@query
+def object_inventory(t: Tables) -> DataFrame:
+    return _objects(t)
+
+
+@query
+def object_type_breakdown(t: Tables) -> DataFrame:
+    return serving.count_by(_objects(t), "object_type", "objects")
+
+
+@query
+def custom_objects(t: Tables) -> DataFrame:
+    return catalog.custom_objects(_objects(t))
+
+
 @query
 def object_type_classify(t: Tables) -> DataFrame:
     named = t.source("orders").selectExpr(

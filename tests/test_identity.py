@@ -37,44 +37,49 @@ def by_key(df):
     return {(r.anonymous_id, r.email, r.domain): (r.contact_id, r.account_id) for r in df.collect()}
 
 
-SARAH = ("cnt_003999", "acc_001888", "sarah@acme.com")
-ACME = ("acc_001888", "acme.com")
+LEE = ("cnt_L5", "acc_M2", "lee@mill.example")
+MILL = ("acc_M2", "mill.example")
 
 
 def test_earlier_visits_get_the_later_known_identity(spark):
+    """Three visits of one visitor, the middle one with an address, and a stranger on the same site."""
     events = events_of(
-        spark, {"anonymous_id": "anon_123"}, {"anonymous_id": "anon_123", "email": "Sarah@acme.com ", "domain": "acme.com"}
+        spark,
+        {"anonymous_id": "b-1", "domain": "gmail.com"},
+        {"anonymous_id": "b-1", "email": " LEE@mill.example"},
+        {"anonymous_id": "b-1", "domain": "http://news.example/a"},
+        {"anonymous_id": "b-2", "domain": "news.example"},
     )
-    rows = by_key(identity_map(events, contacts_of(spark, SARAH), accounts_of(spark, ACME)))
-    known = ("cnt_003999", "acc_001888")
-    assert rows[("anon_123", None, None)] == known
-    assert rows[("anon_123", "sarah@acme.com", "acme.com")] == known
+    rows = by_key(identity_map(events, contacts_of(spark, LEE), accounts_of(spark, MILL)))
+    known = ("cnt_L5", "acc_M2")
+    assert [rows[("b-1", *k)] for k in ((None, None), ("lee@mill.example", None), (None, "news.example"))] == [known] * 3
+    assert rows[("b-2", None, "news.example")] == (None, None)
 
 
 def test_order_of_trust(spark):
     events = events_of(
         spark,
-        {"anonymous_id": "direct", "email": "sarah@acme.com", "sfdc_contact_id": "X", "sfdc_account_id": "Y"},
-        {"anonymous_id": "mail", "email": "sarah@acme.com", "domain": "https://www.other.com/x"},
+        {"anonymous_id": "direct", "email": "lee@mill.example", "sfdc_contact_id": "X", "sfdc_account_id": "Y"},
+        {"anonymous_id": "mail", "email": "lee@mill.example", "domain": "https://www.other.com/x"},
         {"anonymous_id": "site", "domain": "other.com"},
         {"anonymous_id": "public", "domain": "gmail.com"},
         {"anonymous_id": "nobody", "email": "who@nowhere.org", "domain": "nowhere.org"},
     )
-    rows = by_key(identity_map(events, contacts_of(spark, SARAH), accounts_of(spark, ACME, ("acc_2", "other.com"), ("acc_3", "gmail.com"))))
-    assert rows[("direct", "sarah@acme.com", None)] == ("cnt_X", "acc_Y")
-    assert rows[("mail", "sarah@acme.com", "other.com")] == ("cnt_003999", "acc_001888")
+    rows = by_key(identity_map(events, contacts_of(spark, LEE), accounts_of(spark, MILL, ("acc_2", "other.com"), ("acc_3", "gmail.com"))))
+    assert rows[("direct", "lee@mill.example", None)] == ("cnt_X", "acc_Y")
+    assert rows[("mail", "lee@mill.example", "other.com")] == ("cnt_L5", "acc_M2")
     assert rows[("site", None, "other.com")] == (None, "acc_2")
     assert rows[("public", None, None)] == (None, None)
     assert rows[("nobody", "who@nowhere.org", "nowhere.org")] == (None, None)
 
 
 def test_rows_without_a_visitor_are_not_stitched_to_each_other(spark):
-    contacts = contacts_of(spark, SARAH, ("cnt_9", "acc_9", "zoe@zed.com"), ("cnt_8", None, "kim@gmail.com"))
-    rows = by_key(identity_map(events_of(spark, {}), contacts, accounts_of(spark, ACME, ("acc_9", "zed.com"))))
-    assert rows[(None, "sarah@acme.com", "acme.com")] == ("cnt_003999", "acc_001888")
+    contacts = contacts_of(spark, LEE, ("cnt_9", "acc_9", "zoe@zed.com"), ("cnt_8", None, "kim@gmail.com"))
+    rows = by_key(identity_map(events_of(spark, {}), contacts, accounts_of(spark, MILL, ("acc_9", "zed.com"))))
+    assert rows[(None, "lee@mill.example", "mill.example")] == ("cnt_L5", "acc_M2")
     assert rows[(None, "zoe@zed.com", "zed.com")] == ("cnt_9", "acc_9")
     assert rows[(None, "kim@gmail.com", None)] == ("cnt_8", None)
-    assert rows[(None, None, "acme.com")] == (None, "acc_001888")
+    assert rows[(None, None, "mill.example")] == (None, "acc_M2")
     assert (None, None, None) not in rows
 
 
@@ -95,33 +100,33 @@ def test_account_goes_with_the_greatest_contact(spark):
         {"anonymous_id": "v", "email": "2", "sfdc_contact_id": "7"},
         {"anonymous_id": "v", "email": "3", "sfdc_account_id": "9"},
     )
-    rows = by_key(identity_map(events, contacts_of(spark, SARAH), accounts_of(spark, ACME)))
+    rows = by_key(identity_map(events, contacts_of(spark, LEE), accounts_of(spark, MILL)))
     assert {v for k, v in rows.items() if k[0] == "v"} == {("cnt_7", "acc_1")}
 
 
 def test_earlier_map_is_carried_on(spark):
-    contacts, accounts = contacts_of(spark, SARAH), accounts_of(spark, ACME)
-    first = identity_map(events_of(spark, {"anonymous_id": "v", "email": "sarah@acme.com", "ts": "2026-01-05T00:00:00Z"}), contacts, accounts)
+    contacts, accounts = contacts_of(spark, LEE), accounts_of(spark, MILL)
+    first = identity_map(events_of(spark, {"anonymous_id": "v", "email": "lee@mill.example", "ts": "2026-01-05T00:00:00Z"}), contacts, accounts)
     later = identity_map(events_of(spark, {"anonymous_id": "v", "ts": "2026-03-05T00:00:00Z"}), contacts, accounts, first)
     rows = by_key(later)
-    assert rows[("v", None, None)] == rows[("v", "sarah@acme.com", None)] == ("cnt_003999", "acc_001888")
+    assert rows[("v", None, None)] == rows[("v", "lee@mill.example", None)] == ("cnt_L5", "acc_M2")
     kept = later.where("anonymous_id = 'v' and email is not null").selectExpr("cast(first_seen_at as string) f").first()
     assert kept.f == "2026-01-05 00:00:00"
 
 
 def test_times_and_pre_aggregation(spark):
     busy = [{"anonymous_id": "bot", "ts": f"2026-02-01T{h:02d}:00:00Z"} for h in range(24)]
-    tuples = identity_sources(events_of(spark, *busy), contacts_of(spark, SARAH), accounts_of(spark, ACME))
+    tuples = identity_sources(events_of(spark, *busy), contacts_of(spark, LEE), accounts_of(spark, MILL))
     row = tuples.where("anonymous_id = 'bot'").selectExpr("cast(first_seen_at as string) f", "cast(last_seen_at as string) l").collect()
     assert [tuple(r) for r in row] == [("2026-02-01 00:00:00", "2026-02-01 23:00:00")]
 
 
 def test_salted_lookups_give_the_same_map(spark, no_broadcast):
     rows = [
-        {"anonymous_id": "bot" if i % 3 == 0 else f"v{i}", "email": "sarah@acme.com" if i % 2 else f"u{i}@z.com", "domain": ["acme.com", "gmail.com", None][i % 3]}
+        {"anonymous_id": "bot" if i % 3 == 0 else f"v{i}", "email": "lee@mill.example" if i % 2 else f"u{i}@z.com", "domain": ["mill.example", "gmail.com", None][i % 3]}
         for i in range(60)
     ]
-    inputs = (events_of(spark, *rows), contacts_of(spark, SARAH), accounts_of(spark, ACME))
+    inputs = (events_of(spark, *rows), contacts_of(spark, LEE), accounts_of(spark, MILL))
     salted, plain = identity_map(*inputs, hot_rows=3), identity_map(*inputs)
     drop = ("updated_at",)
     assert sorted(map(tuple, salted.drop(*drop).collect()), key=repr) == sorted(map(tuple, plain.drop(*drop).collect()), key=repr)
@@ -134,7 +139,7 @@ def test_salted_lookups_give_the_same_map(spark, no_broadcast):
 @pytest.fixture
 def identities(spark):
     return spark.createDataFrame(
-        [("i1", "anon_1", None, None, "cnt_1", None), ("i2", None, "jo@acme.com", "acme.com", "cnt_2", "acc_2")],
+        [("i1", "anon_1", None, None, "cnt_1", None), ("i2", None, "jo@mill.example", "mill.example", "cnt_2", "acc_2")],
         "identity_id string, anonymous_id string, email string, domain string, contact_id string, account_id string",
     )
 
@@ -142,9 +147,9 @@ def identities(spark):
 def test_event_columns_and_links(spark, identities):
     events = events_of(
         spark,
-        {"id": "evt_1", "type": "pricing_page_view", "anonymous_id": "anon_1", "email": " Jo@acme.com", "domain": "http://acme.com/x",
-         "attributes": {"url": "https://acme.com/pricing", "plan_interest": "enterprise", "duration_seconds": "45.9"}},
-        {"id": "evt_2", "email": "jo@acme.com"},
+        {"id": "evt_1", "type": "pricing_page_view", "anonymous_id": "anon_1", "email": " Jo@mill.example", "domain": "http://mill.example/x",
+         "attributes": {"url": "https://mill.example/pricing", "plan_interest": "enterprise", "duration_seconds": "45.9"}},
+        {"id": "evt_2", "email": "jo@mill.example"},
         {"id": "evt_3", "anonymous_id": "other"},
         {"id": "evt_4"},
         {"id": None},
@@ -153,9 +158,9 @@ def test_event_columns_and_links(spark, identities):
     assert set(rows) == {"evt_1", "evt_2", "evt_3", "evt_4"}
     one = rows["evt_1"]
     assert (one.contact_id, one.account_id) == ("cnt_1", "acc_2")  # per column: id match first, then email match
-    assert (one.email, one.domain, one.interaction_weight) == ("jo@acme.com", "acme.com", "high")
-    assert (one.url, one.plan_interest, one.duration_seconds) == ("https://acme.com/pricing", "enterprise", 45)
-    assert '"url":"https://acme.com/pricing"' in one.attributes and len(one.record_hash) == 64 and len(one) == 17
+    assert (one.email, one.domain, one.interaction_weight) == ("jo@mill.example", "mill.example", "high")
+    assert (one.url, one.plan_interest, one.duration_seconds) == ("https://mill.example/pricing", "enterprise", 45)
+    assert '"url":"https://mill.example/pricing"' in one.attributes and len(one.record_hash) == 64 and len(one) == 17
     assert (rows["evt_2"].contact_id, rows["evt_2"].account_id) == ("cnt_2", "acc_2")
     assert (rows["evt_3"].contact_id, rows["evt_4"].account_id) == (None, None)
 
@@ -181,6 +186,6 @@ def test_newest_copy_of_an_event_counts(spark, identities):
 
 def test_empty_inputs(spark):
     none = spark.createDataFrame([], LANDED_EVENT)
-    found = identity_map(none, contacts_of(spark, SARAH).limit(0), accounts_of(spark, ACME).limit(0))
+    found = identity_map(none, contacts_of(spark, LEE).limit(0), accounts_of(spark, MILL).limit(0))
     assert found.count() == 0
     assert customer_events(none, found).count() == 0

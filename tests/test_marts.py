@@ -15,7 +15,7 @@ def day(text):
 @pytest.fixture
 def accounts(spark):
     return spark.createDataFrame(
-        [("acc_1", "Acme", "Tech", 100, 1e6, "acme.com", "srep_1"), ("acc_2", "Beta", None, None, None, None, None)],
+        [("acc_1", "Mill", "Paper", 0, 7.5e5, "mill.example", "srep_1"), ("acc_2", "Beta", None, None, None, None, None)],
         "account_id string, account_name string, industry string, employee_count int, annual_revenue double, website string, owner_id string",
     )
 
@@ -29,8 +29,8 @@ def reps(spark):
 def opportunities(spark):
     return spark.createDataFrame(
         [
-            ("opp_1", "acc_1", 50000.0, False, False, "srep_1", dt.date(2026, 8, 1)),
-            ("opp_2", "acc_1", 25000.0, True, True, "srep_1", dt.date(2026, 8, 2)),
+            ("opp_1", "acc_1", 41750.25, False, False, "srep_1", dt.date(2026, 8, 1)),
+            ("opp_2", "acc_1", 980.5, True, True, "srep_1", dt.date(2026, 8, 2)),
             ("opp_3", "acc_1", None, True, False, "srep_1", dt.date(2026, 8, 3)),
             ("opp_4", None, 10.0, True, True, None, dt.date(2026, 8, 3)),
             ("opp_5", "acc_9", 10.0, True, False, "srep_2", dt.date(2026, 7, 3)),
@@ -68,14 +68,14 @@ def c360(accounts, contacts, opportunities, reps, events):
 
 def test_customer_360(c360):
     rows = {r.account_id: r for r in c360.collect()}
-    acme, beta = rows["acc_1"], rows["acc_2"]
-    assert acme.contact_count == 2
-    assert (acme.open_opportunity_count, acme.open_pipeline_value) == (1, 50000.0)
-    assert (acme.won_opportunity_count, acme.won_pipeline_value, acme.lost_opportunity_count) == (1, 25000.0, 1)
-    assert (acme.sales_rep_id, acme.sales_rep_name, acme.sales_rep_email) == ("srep_1", "Rae", "rae@x.com")
-    assert (acme.events_last_7d, acme.events_last_30d) == (4, 5)  # no upper bound: the later event counts
+    mill, beta = rows["acc_1"], rows["acc_2"]
+    assert mill.contact_count == 2
+    assert (mill.open_opportunity_count, mill.open_pipeline_value) == (1, 41750.25)
+    assert (mill.won_opportunity_count, mill.won_pipeline_value, mill.lost_opportunity_count) == (1, 980.5, 1)
+    assert (mill.sales_rep_id, mill.sales_rep_name, mill.sales_rep_email) == ("srep_1", "Rae", "rae@x.com")
+    assert (mill.events_last_7d, mill.events_last_30d) == (4, 5)  # no upper bound: the later event counts
     assert (beta.contact_count, beta.open_pipeline_value, beta.events_last_7d) == (0, 0.0, 0)
-    assert beta.last_activity_at is None and beta.sales_rep_name is None and len(acme) == 18
+    assert beta.last_activity_at is None and beta.sales_rep_name is None and len(mill) == 18
 
 
 def test_upper_bound(accounts, contacts, opportunities, reps, events):
@@ -115,7 +115,7 @@ def test_sales_performance(opportunities, reps):
     assert set(rows) == {("srep_1", "2026-08"), ("srep_2", "2026-07")}
     august = rows[("srep_1", "2026-08")]
     assert (august.opportunities_closed, august.won_opportunities, august.lost_opportunities) == (3, 1, 1)
-    assert (august.pipeline_closed, august.won_revenue, august.open_revenue) == (75000.0, 25000.0, 50000.0) and (august.win_rate, august.average_deal_size) == (33.33, 25000.0)
+    assert (august.pipeline_closed, august.won_revenue, august.open_revenue) == (42730.75, 980.5, 41750.25) and (august.win_rate, august.average_deal_size) == (33.33, 980.5)
     july = rows[("srep_2", "2026-07")]
     assert (july.win_rate, july.average_deal_size) == (0.0, 0.0) and len(july) == 11
 
@@ -137,7 +137,7 @@ def test_lead_attribution(attribution):
     rows = {r.lead_id: r for r in attribution.collect()}
     won, open_lead, lost = rows["l1"], rows["l2"], rows["l3"]
     assert (str(won.conversion_date), won.days_to_conversion) == ("2026-08-11", 10)
-    assert (won.converted_opportunity_amount, won.is_won_deal) == (25000.0, True)
+    assert (won.converted_opportunity_amount, won.is_won_deal) == (980.5, True)
     assert (open_lead.conversion_date, open_lead.days_to_conversion) == (None, None)
     assert (open_lead.converted_opportunity_amount, open_lead.is_won_deal) == (0.0, False)
     assert (lost.days_to_conversion, lost.converted_opportunity_amount, lost.is_won_deal) == (0, 0.0, False)
@@ -154,9 +154,9 @@ def test_salted_paths_agree(accounts, contacts, opportunities, reps, events, c36
 
 def test_served_customers(c360):
     assert [r.account_id for r in serving.customers(c360).collect()] == ["acc_1", "acc_2"]
-    assert [r.account_id for r in serving.customers(c360, industry="TECH").collect()] == ["acc_1"]
+    assert [r.account_id for r in serving.customers(c360, industry="PAPER").collect()] == ["acc_1"]
     assert [r.account_id for r in serving.customers(c360, limit=1, offset=1).collect()] == ["acc_2"]
-    assert serving.customer(c360, "acc_1").first().won_pipeline_value == 25000.0
+    assert serving.customer(c360, "acc_1").first().won_pipeline_value == 980.5
     assert serving.customer(c360, "acc_404").count() == 0
 
 
@@ -191,26 +191,26 @@ def test_served_priorities(spark):
 def test_served_performance_and_leads(opportunities, reps, attribution):
     performance = marts.sales_performance(opportunities, reps)
     row = serving.performance_by_rep(performance, sales_rep_id="srep_1", month="2026-08").first()
-    assert (row.total_opportunities, row.won_pipeline_value, row.avg_deal_size, row.open_pipeline_value) == (3, 25000.0, 25000.0, 50000.0)
+    assert (row.total_opportunities, row.won_pipeline_value, row.avg_deal_size, row.open_pipeline_value) == (3, 980.5, 980.5, 41750.25)
     assert [r.lead_id for r in serving.leads(attribution, lead_source="WEB", is_converted=True).collect()] == ["l1", "l3"]
     assert [r.lead_id for r in serving.leads(attribution, is_converted=False).collect()] == ["l2"]
     sources = {r.lead_source: tuple(r)[1:] for r in serving.lead_sources(attribution).collect()}
-    assert sources == {"Web": (1, 1, 1, 25000.0), "web": (1, 1, 0, 0.0)}
+    assert sources == {"Web": (1, 1, 1, 980.5), "web": (1, 1, 0, 0.0)}
     money = {r.sales_rep_name: tuple(r)[2:] for r in serving.rep_revenue(performance).collect()}
-    assert money == {"Rae": (25000.0, 50000.0, 75000.0), "Sam": (0.0, 0.0, 10.0)}
+    assert money == {"Rae": (980.5, 41750.25, 42730.75), "Sam": (0.0, 0.0, 10.0)}
     namesakes = performance.withColumn("sales_rep_name", F.lit("Rae"))
-    assert sorted(r.all_pipeline_value for r in serving.rep_revenue(namesakes).collect()) == [10.0, 75000.0]
+    assert sorted(r.all_pipeline_value for r in serving.rep_revenue(namesakes).collect()) == [10.0, 42730.75]
 
 
 def test_key_figures(c360, events):
     prioritized = marts.sales_prioritization(c360, marts.intent_engagement(events), AS_OF)
     kpis = serving.executive_kpis(c360, prioritized).first()
-    assert tuple(kpis)[:3] == (2, 50000.0, 25000.0)
+    assert tuple(kpis)[:3] == (2, 41750.25, 980.5)
     assert kpis.tier_1_accounts == prioritized.where("priority_band = 'Tier 1'").count()
     empty = serving.executive_kpis(c360.limit(0), prioritized.limit(0)).first()
     assert tuple(empty) == (0, 0.0, 0.0, 0)
-    assert {r.account_name for r in serving.account_names(c360).collect()} == {"Acme", "Beta"}
-    found = serving.account_intent(c360, marts.intent_engagement(events), "Acme").collect()
+    assert {r.account_name for r in serving.account_names(c360).collect()} == {"Mill", "Beta"}
+    found = serving.account_intent(c360, marts.intent_engagement(events), "Mill").collect()
     assert [(r.account_id, str(r.event_date)) for r in found] == [("acc_1", "2026-09-17")]
     assert serving.account_intent(c360, marts.intent_engagement(events), "Nobody").count() == 0
 

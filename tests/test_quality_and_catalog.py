@@ -1,7 +1,8 @@
 import json
 
 from accountweave.operators import catalog, quality
-from accountweave.sources.describe import read_describes
+from accountweave.schemas import CRM_COLUMNS
+from accountweave.sources.describe import read_describes, read_objects
 from accountweave.sources.tables import read_csv, write_csv
 
 
@@ -32,7 +33,7 @@ def test_describe_files_to_inventory(spark, tmp_path):
         document = {"name": name, "fields": [{"name": f, "label": f, "type": "string", "nillable": f != "Id", "more": 1} for f in fields]}
         (tmp_path / f"{name}.json").write_text(json.dumps(document, indent=2))
     selected = spark.createDataFrame(
-        [("Account", "Id", "Direct"), ("User", "Id", "Direct"), ("User", "UserRole.Name", "Relationship"), ("Lead", "X.Y", "Relationship")],
+        [("Account", "Id", "Direct"), ("User", "Id", "Direct"), ("User", "UserRole.Name", catalog.RELATIONSHIP), ("Lead", "X.Y", catalog.RELATIONSHIP)],
         "object_name string, field_name string, field_type string",
     )
     inventory = catalog.field_inventory(read_describes(spark, str(tmp_path)), selected)
@@ -41,10 +42,10 @@ def test_describe_files_to_inventory(spark, tmp_path):
         ("Account", "Id"): ("Direct", "Required", False),
         ("Account", "Fax"): ("Direct", "Optional / Evaluate", True),
         ("User", "Id"): ("Direct", "Required", False),
-        ("User", "UserRole.Name"): ("Relationship", "Required", True),
+        ("User", "UserRole.Name"): (catalog.RELATIONSHIP, "Required", True),
     }
     required = inventory.where("selection = 'Required'")
-    counts = catalog.count_pivot(required, "object_name", "field_type", ["Direct", "Relationship"], "total_required")
+    counts = catalog.count_pivot(required, "object_name", "field_type", [catalog.DIRECT, catalog.RELATIONSHIP], "total_required")
     assert {tuple(r) for r in counts.collect()} == {("Account", 1, 0, 1), ("User", 1, 1, 2)}
     names = catalog.names_per_group(required, "object_name", "field_name")
     assert {tuple(r) for r in names.collect()} == {("Account", "Id", 1), ("User", "Id, UserRole.Name", 2)}
@@ -52,3 +53,32 @@ def test_describe_files_to_inventory(spark, tmp_path):
     write_csv(inventory, str(tmp_path / "csv"))
     back = read_csv(spark, str(tmp_path / "csv"), inventory.schema)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, inventory.collect()), key=repr)
+
+
+def test_required_fields_are_what_is_landed(spark, tmp_path):
+    selected = catalog.required_fields(spark)
+    rows = {tuple(r) for r in selected.collect()}
+    assert len(rows) == sum(map(len, CRM_COLUMNS.values()))
+    assert {r for r in rows if r[2] != catalog.DIRECT} == {("User", "UserRole.Name", catalog.RELATIONSHIP)}
+    assert ("OpportunityContactRole", "IsPrimary", catalog.DIRECT) in rows
+    document = {"fields": [{"name": n, "label": n, "type": "string", "nillable": True} for n in ("Username", "Fax")]}
+    (tmp_path / "User.json").write_text(json.dumps(document))
+    found = catalog.field_inventory(read_describes(spark, str(tmp_path)), selected).collect()
+    assert {(r.field_name, r.label, r.selection) for r in found} == {
+        ("Username", "Username", "Required"),
+        ("Fax", "Fax", "Optional / Evaluate"),
+        ("UserRole.Name", "UserRole.Name (SOQL Relationship Traversal)", "Required"),
+    }
+
+
+def test_global_describe_to_inventory(spark, tmp_path):
+    flags = {"queryable": True, "retrieveable": True, "createable": False, "updateable": None, "custom": False}
+    objects = [{"name": "Plan__c", "label": "Plan"} | flags | {"custom": True, "x": 1}, {"name": "Plan__History", "label": "Past"} | flags, {"name": "Task"}]
+    (tmp_path / "global.json").write_text(json.dumps({"encoding": "UTF-8", "sobjects": objects}, indent=1))
+    inventory = catalog.object_inventory(read_objects(spark, str(tmp_path)))
+    assert [tuple(r) for r in inventory.orderBy("object_name").collect()] == [
+        ("Plan__History", "Past", "System / Security", True, True, False, None, False),
+        ("Plan__c", "Plan", "Custom Object", True, True, False, None, True),
+        ("Task", None, "Standard Object", None, None, None, None, None),
+    ]
+    assert [tuple(r) for r in catalog.custom_objects(inventory).collect()] == [("Plan__c", "Plan")]
