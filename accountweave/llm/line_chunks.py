@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountweave.llm.common import KEY, ROW, row_key, stage, text_of
+from accountweave.llm.common import KEY, ROW, keyed, row_key, stage, text_of
+from accountweave.operators.joins import lookup_join
 
 MODULUS = 4
 MIN_LINES = 2
@@ -124,9 +125,14 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     every = F.filter(every, lambda w: w["end"].isNotNull())
     every = F.transform(every, lambda w: F.struct(w["at"].alias("at"), w["end"].alias("end"), window(w["at"], w["end"]).alias("d")))
     windows = rows.withColumn("every", every).select(KEY, "id", F.explode("every").alias("w")).select(KEY, "id", "w.*")
-    windows = stage(windows, "line-windows", compression="zstd")
-    first = windows.groupBy("d").agg(F.min(F.struct("id", KEY, "at", "end")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = windows.join(stage(first, "first-windows", compression="zstd"), "d")
+    windows = stage(windows, "line-windows", compression="zstd").withColumn("h", F.xxhash64("d"))
+    # Most windows occur once. A count of 8-byte hashes tells them, so only the others move with key, place and digest.
+    again = stage(windows.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1"), "window-hashes")
+    met = lookup_join(windows, again.select("h", F.lit(True).alias("again")), "h", [KEY, "at"], counts=again)
+    met = stage(met.where("again").select(KEY, "id", "at", "end", "d"), "met-windows", compression="zstd")
+    first = met.groupBy("d").agg(F.min(F.struct("id", KEY, "at", "end")).alias("first"), F.count("*").alias("_n")).where("_n > 1")
+    first = stage(first, "first-windows", compression="zstd")
+    met = lookup_join(met, first.select("d", "first"), "d", [KEY, "at"], counts=first.select("d", "_n"))
     later = (F.col(KEY) != F.col(f"first.{KEY}")) | (F.col("at") > F.col("first.end"))
     lost = met.where(later).select(KEY, F.explode(F.sequence("at", "end")).alias("no"))
     return lost.groupBy(KEY).agg(F.collect_set("no").alias("gone"))
@@ -134,9 +140,10 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with the same columns; ``text`` without repeated lines, and ``n_chars`` to match where there is one."""
-    rows = docs.select(row_key(id_column, text_column).alias(KEY), F.struct("*").alias(ROW), text_of(text_column).alias("whole"))
-    out = rows.join(repeated_lines(docs, id_column, text_column), KEY, "left")
-    out = out.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split("whole", "\n", -1)))
+    # The text moves once, inside its row.
+    out = keyed(docs, id_column, text_column).join(repeated_lines(docs, id_column, text_column), KEY, "left")
+    whole = F.coalesce(F.col(ROW)[text_column].cast("string"), F.lit(""))
+    out = out.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split(whole, "\n", -1)))
     out = out.withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
     out = out.withColumn("kept", F.array_join(F.transform("stay", lambda no: F.get("lines", no)), "\n"))
     columns = []
