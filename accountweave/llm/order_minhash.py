@@ -10,15 +10,14 @@ banded alignment whose band doubles until it holds the distance or passes what t
 threshold shares a bucket with a chance of 0.999, pairs above it more.
 
 Equal texts are one class from the start: the class has one representative, so a group of copies of any size is one row.
-In a bucket each representative is compared with the first one, and in buckets of up to ``SMALL`` rows all with all;
-that is linear in the rows. Larger buckets that still hold several components are refined: their rows are dealt into the
-buckets of every two bands that they share, and compared with some others of other components there, with other ones each
-round, until a round brings no new link. That only joins cheaply what it can; a bucket is not settled by it.
+In a bucket each representative is compared with the first one, in an order of which there are ``CENTRES``; that is linear
+in the rows, settles buckets of two and joins most groups.
 
-The rows of large buckets that then still hold several components are settled exactly. A pair at the threshold shares most
-labelled shingles, so it shares one of the rarest: as many as it may differ in, and one more. Each row is listed by those, and
-of each pair of components that meets in one all rows that meet are aligned, unless their lengths alone exclude it. What is
-not compared can't reach the threshold, whatever the size of the bucket.
+The rows of larger buckets that then still hold several components are settled exactly. A pair at the threshold shares most
+labelled shingles, so it shares one of the rarest: as many as it may differ in, and one more. Each row is listed by those with
+their places, rarest first. Rows of different components that meet in one are a candidate pair, and before texts are fetched it
+must pass bounds that no pair at the threshold fails: the lengths, and the number of shingles that can still be shared given the
+places of those that are. What is not compared can't reach the threshold, whatever the size of the bucket.
 
 Defined cases: null texts are empty; texts of fewer than five words have one shingle, all their words; texts
 without any word are copies of each other only if they are equal; rows with equal id and text are copies.
@@ -34,17 +33,19 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountweave.llm.common import KEY, ROW, keyed, row_key, stage, text_of
 from accountweave.llm.components import components, joined
+from accountweave.operators.joins import lookup_join
 
 SHINGLE, THRESHOLD = 5, 0.8
 ELL, ROWS, BANDS = 2, 2, 32
-SMALL = 8
 #: Orders that set the first row of a bucket.
 CENTRES = 4
+#: Pairs of one text above which its row is repeated, so that they are dealt over several tasks.
+HOT_PAIRS = 20_000
 #: Slots, as a power of two, by which shingles are counted to tell rare ones: 4 MB, whatever the number of texts.
 SLOT_BITS = 20
 _WORD = re.compile(r"\w+")
@@ -286,9 +287,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 good = verify(part.column("ta").to_pylist(), part.column("tb").to_pylist(), threshold)
                 yield pa.record_batch([part.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
-    left = texts.select(F.col("cls").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    # The first row of many buckets has very many pairs; it is repeated, and its pairs are dealt over the repeats.
+    for end, other in ("a", "b"), ("b", "a"):
+        text = texts.select(F.col("cls").alias(end), F.col("text").alias(f"t{end}"))
+        counts = pairs.groupBy(end).agg(F.count("*").alias("_n"))
+        pairs = lookup_join(pairs, text, end, [other], counts=counts, hot_rows=HOT_PAIRS)
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -303,15 +307,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
     heads = copies.groupBy("cls").agg(F.min(KEY).alias(KEY))
     heads = stage(heads.join(shared.select("cls").distinct(), "cls", "left_semi"), "heads")
     texts = stage(rows.select(KEY, "text").join(heads, KEY).dropDuplicates(["cls"]).select("cls", "text"), "candidates", compression="zstd")
-    links = stage(_verified(_pairs(shared), texts, threshold), "links")
+    links = stage(_verified(stage(_pairs(shared), "pairs"), texts, threshold), "links")
     found = stage(components(links), "components")
-    refined, turn = _refined(shared, found), 0
-    while True:
-        fresh = stage(_verified(_across(refined, found, turn), texts, threshold), "links")
-        if fresh.isEmpty():
-            break
-        found, turn = stage(joined(found, fresh), "components"), turn + 1
-    left = stage(_unsettled(shared.where(F.col("n") > SMALL), found).select("cls", "component").distinct(), "left")
+    left = stage(_unsettled(shared.where("n > 2"), found), "left")
     if not left.isEmpty():
         fresh = stage(_verified(stage(_rest(left, texts, threshold), "rest"), texts, threshold), "links")
         found = stage(joined(found, fresh), "components")
@@ -319,55 +317,28 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
     return named.select(KEY, "own", F.coalesce("component", "cls").alias("cls"))
 
 
-def _ordered(frame: DataFrame) -> DataFrame:
-    return frame.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def _pairs(shared: DataFrame) -> DataFrame:
-    """Each row of a bucket with its first one, in one of ``CENTRES`` orders; all with all in small buckets."""
+    """Each row of a bucket with its first one, in one of ``CENTRES`` orders."""
     order = F.xxhash64("cls", F.pmod("bucket", F.lit(CENTRES)))
     first = stage(shared.groupBy("bucket").agg(F.min_by("cls", order).alias("first")), "first-rows")
-    star = shared.join(first, "bucket").select(F.col("first").alias("a"), F.col("cls").alias("b"))
-    small = shared.where(F.col("n") <= SMALL)
-    every = small.select("bucket", F.col("cls").alias("a")).join(small.select("bucket", F.col("cls").alias("b")), "bucket")
-    return _ordered(star.unionByName(every.where("a < b").select("a", "b")))
+    star = shared.join(first, "bucket").where("cls != first")
+    return star.select(F.least("first", "cls").alias("a"), F.greatest("first", "cls").alias("b")).distinct()
 
 
 def _unsettled(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several components, with their component."""
-    named = shared.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    """``cls, component`` of the rows of all buckets that hold several components."""
+    named = shared.select("cls", "bucket").join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
     named = stage(named.withColumn("component", F.coalesce("component", "cls")), "named")
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    return stage(named.join(stage(mixed.select("bucket"), "mixed-buckets"), "bucket"), "unsettled")
-
-
-def _across(shared: DataFrame, found: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different components: each row of a bucket with ``CENTRES`` others, other ones each turn."""
-    rows = _unsettled(shared, found)
-    own = F.struct("cls", "component")
-    some = [F.min_by(own, F.xxhash64("cls", F.lit(turn * CENTRES + i))) for i in range(CENTRES)]
-    first = stage(rows.groupBy("bucket").agg(F.array_distinct(F.array(*some)).alias("first")), "first-rows")
-    star = rows.join(first, "bucket").select("cls", "component", F.explode("first").alias("c"))
-    return _ordered(star.where("component != c.component").select(F.col("c.cls").alias("a"), F.col("cls").alias("b")))
-
-
-def _refined(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """The large buckets that hold several components, split by every second bucket that their rows share."""
-    rows = _unsettled(shared.where(F.col("n") > SMALL), found).drop("component")
-    own = rows.groupBy("cls").agg(F.sort_array(F.collect_set("bucket")).alias("own"))
-    two = own.select("cls", "own", F.explode("own").alias("x"))
-    two = two.select("cls", F.explode(F.filter("own", lambda y: y > F.col("x"))).alias("y"), "x")
-    split = stage(two.select("cls", F.xxhash64("x", "y").alias("bucket")), "split-buckets")
-    counts = split.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    return stage(split.join(stage(counts, "split-sizes"), "bucket"), "split-shared")
+    return named.join(stage(mixed.select("bucket"), "mixed-buckets"), "bucket").select("cls", "component").distinct()
 
 
 def _slots(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def rarest(x: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
-    """Of the labelled shingles ``x`` of a text those of which any text at the threshold has one.
+def rarest(x: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the labelled shingles ``x`` of a text those of which any text at the threshold has one, and their places.
 
     A partner shares all but ``most`` at least. With all shingles in one order (rare slots first), two such texts share one
     of their first ``most + 1`` each. A slot that was filled once holds no shared shingle.
@@ -375,11 +346,12 @@ def rarest(x: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
     most = int(len(x) * (1 - threshold) + 1e-9)
     n = counts[_slots(x)]
     first = np.lexsort((x, n))[: most + 1]
-    return x[first[n[first] > 1]]
+    places = np.flatnonzero(n[first] > 1)
+    return x[first[places]], places
 
 
 def _rest(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of rows of ``left`` (``cls, component``) in different components that may reach the threshold."""
+    """``a, b``: all pairs of rows of ``left`` (``cls, component``) in different components that may reach the threshold."""
     rows = texts.join(left, "cls").select("cls", "component", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,20 +375,42 @@ def _rest(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             own = [labelled(shingles(word_ids(t))) for t in batch.column("text").to_pylist()]
             rare = [rarest(x, shared.value, threshold) for x in own]
             if own:
-                at = pa.array(np.repeat(np.arange(len(own)), [len(r) for r in rare]))
+                at = pa.array(np.repeat(np.arange(len(own)), [len(r) for r, _ in rare]))
                 sizes = pa.array([len(x) for x in own], pa.int32())
-                columns = [batch.column("cls"), batch.column("component"), sizes]
-                yield pa.record_batch([*(c.take(at) for c in columns), pa.array(np.concatenate(rare).view(np.int64))], names=["cls", "component", "size", "token"])
+                columns = [c.take(at) for c in (batch.column("cls"), batch.column("component"), sizes)]
+                columns.append(pa.array(np.concatenate([p for _, p in rare]).astype(np.int32)))
+                columns.append(pa.array(np.concatenate([r for r, _ in rare]).view(np.int64)))
+                yield pa.record_batch(columns, names=["cls", "component", "size", "place", "token"])
 
-    tokens = stage(rows.mapInArrow(listed, "cls binary, component binary, size int, token long"), "rare-shingles", compression="zstd")
+    schema = "cls binary, component binary, size int, place int, token long"
+    tokens = stage(rows.mapInArrow(listed, schema), "rare-shingles", compression="zstd")
     per = tokens.groupBy("token", "component").agg(F.count("*").alias("n"))
     mixed = per.groupBy("token").agg(F.count("*").alias("several"), F.max_by("component", "n").alias("main")).where("several > 1")
     met = stage(tokens.join(mixed.select("token", "main"), "token"), "met-shingles", compression="zstd")
     # One of a pair is outside the largest component of a shingle, so that one is never paired with itself.
-    other = met.where("component != main").select("token", F.col("cls").alias("a"), F.col("component").alias("x"), F.col("size").alias("m"))
-    every = met.select("token", F.col("cls").alias("b"), F.col("component").alias("y"), F.col("size").alias("n"))
-    most = F.floor(F.greatest("m", "n") * F.lit(1 - threshold) + F.lit(1e-9))
-    return _ordered(other.join(every, "token").where("x != y").where(F.abs(F.col("m") - F.col("n")) <= most).select("a", "b"))
+    own = F.struct("cls", "size", "place")
+    other = met.where("component != main").select("token", own.alias("p"), F.col("component").alias("x"))
+    every = met.select("token", own.alias("q"), F.col("component").alias("y"), (F.col("component") == F.col("main")).alias("in_main"))
+    once = F.col("in_main") | (F.col("p.cls") < F.col("q.cls"))
+    bound = _may_share(1 + F.least("p.place", "q.place"), F.col("p"), F.col("q"), threshold)
+    two = other.join(every, (other["token"] == every["token"]) & (F.col("x") != F.col("y")) & once & bound).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
+    size = [F.col(f"{e}.size").alias(f"{e}_size") for e in "pq"]
+    two = two.groupBy(F.col("p.cls").alias("a"), F.col("q.cls").alias("b"), *size).agg(
+        F.count("*").alias("n"), F.max("p.place").alias("p_place"), F.max("q.place").alias("q_place")
+    )
+    ends = [F.struct(F.col(f"{e}_size").alias("size"), F.col(f"{e}_place").alias("place")) for e in "pq"]
+    two = two.select("a", "b", "n", ends[0].alias("p"), ends[1].alias("q"))
+    return two.where(_may_share(F.col("n"), F.col("p"), F.col("q"), threshold)).select("a", "b")
+
+
+def _may_share(known: Column, p: Column, q: Column, threshold: float) -> Column:
+    """Whether two texts can share enough labelled shingles, if ``known`` at most are shared up to their ``place``.
+
+    Both are listed in one order of all shingles, so what they share beyond a shared shingle stands behind it in both.
+    """
+    longer = F.greatest(p["size"], q["size"])
+    need = longer - F.floor(longer * F.lit(1 - threshold) + F.lit(1e-9))
+    return known + F.least(p["size"] - p["place"], q["size"] - q["place"]) - 1 >= need
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

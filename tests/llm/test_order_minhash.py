@@ -93,11 +93,18 @@ def brute_classes(texts):
     return {i: root(i) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("small", [8, 1])
-def test_same_classes_as_brute_force(documents, monkeypatch, small):
-    monkeypatch.setattr(O, "SMALL", small)
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_same_classes_as_brute_force(spark, documents, monkeypatch, hot):
+    monkeypatch.setattr(O, "HOT_PAIRS", hot)
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    # Without broadcasts the pairs of frequent rows are dealt over repeats.
+    spark.conf.set(broadcast, before if hot > 3 else "-1")
     texts = [*corpus(3), None, "", "!!", "!!", "a b", "a b", "A b"]
-    got = {r.own: r.class_id for r in O.groups(documents(texts, extra=True)).collect()}
+    try:
+        got = {r.own: r.class_id for r in O.groups(documents(texts, extra=True)).collect()}
+    finally:
+        spark.conf.set(broadcast, before)
     assert got == brute_classes(texts)
 
 
@@ -131,7 +138,13 @@ def test_pairs_at_the_threshold_share_a_rare_shingle():
     counts = np.bincount(O._slots(np.concatenate(own)), minlength=1 << O.SLOT_BITS)
     rare = [O.rarest(x, counts, 0.8) for x in own]
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if similar(texts[i], texts[j])]
-    assert len(pairs) > 20 and all(len(np.intersect1d(rare[i], rare[j])) for i, j in pairs)
+    assert len(pairs) > 20 and all(len(np.intersect1d(rare[i][0], rare[j][0])) for i, j in pairs)
+    for i, j in pairs:
+        _, x, y = np.intersect1d(rare[i][0], rare[j][0], return_indices=True)
+        sizes, last = (len(own[i]), len(own[j])), (rare[i][1][x].max(), rare[j][1][y].max())
+        need = max(sizes) - int(max(sizes) * 0.2 + 1e-9)
+        # The bound that keeps a pair holds for every pair at the threshold.
+        assert len(x) + min(n - p for n, p in zip(sizes, last)) - 1 >= need
 
 
 def test_one_row_of_each_class_stays(documents, odd):
