@@ -364,10 +364,11 @@ def _rest(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             part = some[at : at + (1 << 16)]
             yield pa.record_batch([pa.array(part), pa.array(total[part])], names=["slot", "n"])
 
-    # At most a number per slot reaches the driver.
-    counted = rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2147483647)).cast("int").alias("n")).toPandas()
+    # At most a number per slot reaches the driver, as columns and not as row objects.
+    per_slot = rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot")
+    counted = per_slot.agg(F.least(F.sum("n"), F.lit(2147483647)).cast("int").alias("n")).toArrow()
     counts = np.zeros(1 << SLOT_BITS, np.int32)
-    counts[counted["slot"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int32)
+    counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
