@@ -73,6 +73,21 @@ def test_the_largest_task_of_a_hot_key_is_a_small_share(spark, no_broadcast):
             spark.conf.set(name, value)
 
 
+def test_null_keys_are_dealt_over_tasks_when_no_key_is_hot(spark, no_broadcast):
+    """All rows have a null key and no key is hot, so that the slot of every lookup row is 0."""
+    before = {n: spark.conf.get(n) for n in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(20_000).selectExpr("id", "cast(null as string) as key")
+        joined = lookup_join(df, spark.createDataFrame([("k", 1)], "key string, value long"), "key", ["id"])
+        per_task = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(per_task) == 20_000 and max(per_task) < 4_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_two_key_columns(spark, no_broadcast):
     left = spark.range(300).selectExpr("id", "case when id % 4 > 0 then id % 2 end as a", "id % 3 as b")
     right = spark.createDataFrame([(0, 0, "x"), (1, 2, "y")], "a long, b long, v string")
