@@ -10,14 +10,16 @@ banded alignment whose band doubles until it holds the distance or passes what t
 threshold shares a bucket with a chance of 0.999, pairs above it more.
 
 Equal texts are one class from the start: the class has one representative, so a group of copies of any size is one row.
-In a bucket each representative is compared with the first one, in an order of which there are ``CENTRES``; that is linear
-in the rows, settles buckets of two and joins most groups.
+In a bucket each representative is to be compared with the first one, in an order of which there are ``CENTRES``; that is linear
+in the rows, settles buckets of two and joins most groups. Each is first compared with the one that it meets in most buckets; of
+the other pairs those that are not in one component by then.
 
 The rows of larger buckets that then still hold several components are settled exactly. A pair at the threshold shares most
 labelled shingles, so it shares one of the rarest: as many as it may differ in, and one more. Each row is listed by those with
 their places, rarest first. Rows of different components that meet in one are a candidate pair, and before texts are fetched it
-must pass bounds that no pair at the threshold fails: the lengths, and the number of shingles that can still be shared given the
-places of those that are. What is not compared can't reach the threshold, whatever the size of the bucket.
+must pass bounds that no pair at the threshold fails: the lengths, the number of shingles that can still be shared given the
+places of those that are, and the parities of hashed shingles, which differ in no more slots than there are shingles in only one
+of the two. What is not compared can't reach the threshold, whatever the size of the bucket.
 
 Defined cases: null texts are empty; texts of fewer than five words have one shingle, all their words; texts
 without any word are copies of each other only if they are equal; rows with equal id and text are copies.
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountweave.llm.common import KEY, ROW, keyed, row_key, stage, text_of
+from accountweave.llm.common import KEY, ROW, keyed, maybe_in, row_key, stage, text_of
 from accountweave.llm.components import components, joined
 from accountweave.operators.joins import lookup_join
 
@@ -48,6 +50,8 @@ CENTRES = 4
 HOT_PAIRS = 20_000
 #: Slots, as a power of two, by which shingles are counted to tell rare ones: 4 MB, whatever the number of texts.
 SLOT_BITS = 20
+#: Slots whose parity is kept for each text, as a power of two: 128 bytes.
+PARITY_BITS = 10
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -287,6 +291,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 good = verify(part.column("ta").to_pylist(), part.column("tb").to_pylist(), threshold)
                 yield pa.record_batch([part.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
+    # Most texts have no pair in later rounds; they are dropped before any text moves.
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    texts = texts.where(maybe_in(ends.select(F.xxhash64("cls")).distinct())(F.xxhash64("cls")))
     # The first row of many buckets has very many pairs; it is repeated, and its pairs are dealt over the repeats.
     for end, other in ("a", "b"), ("b", "a"):
         text = texts.select(F.col("cls").alias(end), F.col("text").alias(f"t{end}"))
@@ -306,9 +313,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
     shared = stage(keys.join(counts, "bucket"), "shared-buckets")
     heads = copies.groupBy("cls").agg(F.min(KEY).alias(KEY))
     heads = stage(heads.join(shared.select("cls").distinct(), "cls", "left_semi"), "heads")
-    texts = stage(rows.select(KEY, "text").join(heads, KEY).dropDuplicates(["cls"]).select("cls", "text"), "candidates", compression="zstd")
-    links = stage(_verified(stage(_pairs(shared), "pairs"), texts, threshold), "links")
-    found = stage(components(links), "components")
+    # Texts that share no bucket don't move. A class has one key here, and a key one class.
+    some = rows.select(KEY, "text").where(maybe_in(heads.select(F.xxhash64(KEY)))(F.xxhash64(KEY)))
+    texts = stage(some.join(heads, KEY).dropDuplicates([KEY]).select("cls", "text"), "candidates", compression="zstd")
+    star = stage(_star(shared), "star")
+    best = stage(_best(star), "pairs")
+    found = stage(components(stage(_verified(best, texts, threshold), "links")), "components")
+    others = stage(_apart(_pairs(star).join(best, ["a", "b"], "left_anti"), found), "pairs")
+    if not others.isEmpty():
+        found = stage(joined(found, stage(_verified(others, texts, threshold), "links")), "components")
     left = stage(_unsettled(shared.where("n > 2"), found), "left")
     if not left.isEmpty():
         fresh = stage(_verified(stage(_rest(left, texts, threshold), "rest"), texts, threshold), "links")
@@ -317,14 +330,29 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, i
     return named.select(KEY, "own", F.coalesce("component", "cls").alias("cls"))
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
-    """Each row of a bucket with its first one, in one of ``CENTRES`` orders."""
+def _star(shared: DataFrame) -> DataFrame:
+    """``cls, first, n``: each row with the first ones of its buckets, in ``CENTRES`` orders, and in how many they meet."""
     order = F.xxhash64("cls", F.pmod("bucket", F.lit(CENTRES)))
     first = stage(shared.groupBy("bucket").agg(F.min_by("cls", order).alias("first")), "first-rows")
-    star = shared.join(first, "bucket").where("cls != first")
+    return shared.join(first, "bucket").where("cls != first").groupBy("cls", "first").agg(F.count("*").alias("n"))
+
+
+def _pairs(star: DataFrame) -> DataFrame:
     return star.select(F.least("first", "cls").alias("a"), F.greatest("first", "cls").alias("b")).distinct()
 
 
+def _best(star: DataFrame) -> DataFrame:
+    """Each row with the first one that it meets in most buckets."""
+    return _pairs(star.groupBy("cls").agg(F.max_by("first", F.struct("n", "first")).alias("first")))
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The ``pairs`` whose ends are in different components of ``found``."""
+    for end, name in ("a", "x"), ("b", "y"):
+        pairs = pairs.join(found.select(F.col("node").alias(end), F.col("component").alias(name)), end, "left")
+    return pairs.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+
+
 def _unsettled(shared: DataFrame, found: DataFrame) -> DataFrame:
     """``cls, component`` of the rows of all buckets that hold several components."""
     named = shared.select("cls", "bucket").join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
@@ -350,6 +378,12 @@ def rarest(x: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndar
     return x[first[places]], places
 
 
+def parities(x: np.ndarray) -> np.ndarray:
+    """For each slot whether an odd number of the labelled shingles ``x`` is in it, as bits of 64-bit integers."""
+    slots = (x >> np.uint64(64 - SLOT_BITS - PARITY_BITS)) & np.uint64((1 << PARITY_BITS) - 1)
+    return np.packbits(np.bincount(slots.astype(np.int64), minlength=1 << PARITY_BITS) & 1).view(np.int64)
+
+
 def _rest(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """``a, b``: all pairs of rows of ``left`` (``cls, component``) in different components that may reach the threshold."""
     rows = texts.join(left, "cls").select("cls", "component", "text")
@@ -381,20 +415,23 @@ def _rest(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 columns = [c.take(at) for c in (batch.column("cls"), batch.column("component"), sizes)]
                 columns.append(pa.array(np.concatenate([p for _, p in rare]).astype(np.int32)))
                 columns.append(pa.array(np.concatenate([r for r, _ in rare]).view(np.int64)))
-                yield pa.record_batch(columns, names=["cls", "component", "size", "place", "token"])
+                columns.append(pa.array([parities(x) for x in own], pa.list_(pa.int64())).take(at))
+                yield pa.record_batch(columns, names=["cls", "component", "size", "place", "token", "parity"])
 
-    schema = "cls binary, component binary, size int, place int, token long"
+    schema = "cls binary, component binary, size int, place int, token long, parity array<long>"
     tokens = stage(rows.mapInArrow(listed, schema), "rare-shingles", compression="zstd")
     per = tokens.groupBy("token", "component").agg(F.count("*").alias("n"))
     mixed = per.groupBy("token").agg(F.count("*").alias("several"), F.max_by("component", "n").alias("main")).where("several > 1")
     met = stage(tokens.join(mixed.select("token", "main"), "token"), "met-shingles", compression="zstd")
     # One of a pair is outside the largest component of a shingle, so that one is never paired with itself.
     own = F.struct("cls", "size", "place")
-    other = met.where("component != main").select("token", own.alias("p"), F.col("component").alias("x"))
-    every = met.select("token", own.alias("q"), F.col("component").alias("y"), (F.col("component") == F.col("main")).alias("in_main"))
+    other = met.where("component != main").select("token", own.alias("p"), F.col("component").alias("x"), F.col("parity").alias("p_parity"))
+    in_main = (F.col("component") == F.col("main")).alias("in_main")
+    every = met.select("token", own.alias("q"), F.col("component").alias("y"), in_main, F.col("parity").alias("q_parity"))
     once = F.col("in_main") | (F.col("p.cls") < F.col("q.cls"))
     bound = _may_share(1 + F.least("p.place", "q.place"), F.col("p"), F.col("q"), threshold)
-    two = other.join(every, (other["token"] == every["token"]) & (F.col("x") != F.col("y")) & once & bound).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
+    two = other.join(every, (other["token"] == every["token"]) & (F.col("x") != F.col("y")) & once & bound)
+    two = two.where(_near(F.col("p.size"), F.col("q.size"), threshold)).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
     size = [F.col(f"{e}.size").alias(f"{e}_size") for e in "pq"]
     two = two.groupBy(F.col("p.cls").alias("a"), F.col("q.cls").alias("b"), *size).agg(
         F.count("*").alias("n"), F.max("p.place").alias("p_place"), F.max("q.place").alias("q_place")
@@ -409,11 +446,26 @@ def _may_share(known: Column, p: Column, q: Column, threshold: float) -> Column:
 
     Both are listed in one order of all shingles, so what they share beyond a shared shingle stands behind it in both.
     """
-    longer = F.greatest(p["size"], q["size"])
-    need = longer - F.floor(longer * F.lit(1 - threshold) + F.lit(1e-9))
+    need = _need(p["size"], q["size"], threshold)
     return known + F.least(p["size"] - p["place"], q["size"] - q["place"]) - 1 >= need
 
 
+def _need(p_size: Column, q_size: Column, threshold: float) -> Column:
+    """How many labelled shingles two texts at the threshold share at least."""
+    longer = F.greatest(p_size, q_size)
+    return longer - F.floor(longer * F.lit(1 - threshold) + F.lit(1e-9))
+
+
+def _near(p_size: Column, q_size: Column, threshold: float) -> Column:
+    """Whether the parities of two texts differ in no more slots than they may have shingles that the other lacks.
+
+    A shared shingle turns the same slot of both, and any other at most one slot of one.
+    """
+    differ = F.zip_with("p_parity", "q_parity", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(differ, F.lit(0), lambda n, d: n + d)
+    return apart <= p_size + q_size - 2 * _need(p_size, q_size, threshold)
+
+
 def groups(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``own, class_id, class_size``: the class of each row is the smallest id of its rows."""
     found = stage(classes(docs, threshold, id_column=id_column, text_column=text_column), "classes")

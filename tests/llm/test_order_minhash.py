@@ -147,6 +147,40 @@ def test_pairs_at_the_threshold_share_a_rare_shingle():
         assert len(x) + min(n - p for n, p in zip(sizes, last)) - 1 >= need
 
 
+def test_parities_keep_pairs_at_the_threshold_and_drop_others():
+    texts = corpus(9)
+    own = [O.labelled(O.shingles(O.word_ids(t))) for t in texts]
+    bits = [O.parities(x).view(np.uint8) for x in own]
+    kept = dropped = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            apart = np.unpackbits(bits[i] ^ bits[j]).sum()
+            assert apart <= len(own[i]) + len(own[j]) - 2 * len(np.intersect1d(own[i], own[j]))
+            longer = max(len(own[i]), len(own[j]))
+            near = apart <= len(own[i]) + len(own[j]) - 2 * (longer - int(longer * 0.2 + 1e-9))
+            if similar(texts[i], texts[j]):
+                assert near
+                kept += 1
+            else:
+                dropped += not near
+    assert kept > 20 and dropped > 500
+
+
+def test_few_pairs_of_a_large_group_are_compared(documents, monkeypatch):
+    verified, compared = O._verified, []
+
+    def counted(pairs, texts, threshold):
+        compared.append(pairs.count())
+        return verified(pairs, texts, threshold)
+
+    monkeypatch.setattr(O, "_verified", counted)
+    r = random.Random(8)
+    base = words(r, 150)
+    texts = [" ".join(edited(r, base, 2)) for _ in range(150)]
+    assert {x.class_id for x in O.groups(documents(texts)).collect()} == {0}
+    assert sum(compared) < 2 * len(texts)
+
+
 def test_one_row_of_each_class_stays(documents, odd):
     docs = documents(odd, extra=True)
     out = O.one_of_each(docs)
