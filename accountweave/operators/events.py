@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from accountweave.functions import interest_label, normalize_domain, normalize_email, record_hash, to_instant, to_whole
 from accountweave.operators.dedup import keep_latest
-from accountweave.operators.joins import HOT_KEY_ROWS, key_counts, lookup_join
+from accountweave.operators.joins import HOT_KEY_ROWS, hot_counts, lookup_join
 from accountweave.sources.staging import stage
 
 SOURCE_SYSTEM = "digital_events"
@@ -85,7 +85,7 @@ def visitor_accounts(pairs: DataFrame, identities: DataFrame, hot_rows: int = HO
         _links_by(identities, "email", "e"),
         "email",
         ["anonymous_id"],
-        key_counts(pairs, ["email"]),
+        hot_counts(pairs, ["email"], hot_rows),
         hot_rows,
     )
     return both.select(

@@ -18,7 +18,7 @@ from accountweave.functions import (
     strip_prefix,
     to_instant,
 )
-from accountweave.operators.joins import HOT_KEY_ROWS, key_counts, lookup_join
+from accountweave.operators.joins import HOT_KEY_ROWS, hot_counts, lookup_join
 from accountweave.sources.staging import stage
 
 KEYS = ("anonymous_id", "email", "domain")
@@ -202,7 +202,7 @@ def identity_map(
     """
     tuples = stage(identity_sources(events, contacts, accounts, existing), "identity_tuples", stage_folder)
     matched = match_domain(
-        match_email(tuples, contacts, hot_rows), accounts, key_counts(tuples, ["domain"]), hot_rows
+        match_email(tuples, contacts, hot_rows), accounts, hot_counts(tuples, ["domain"], hot_rows), hot_rows
     )
     groups = stage(resolve_groups(matched), "identity_groups", stage_folder)
     return with_identity_id(stitch(groups, hot_rows))

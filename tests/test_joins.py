@@ -3,7 +3,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from accountweave.operators.joins import hot_keys, key_counts, lookup_join
+from accountweave.operators import joins
+from accountweave.operators.joins import hot_counts, hot_keys, key_counts, lookup_join
 
 
 @pytest.fixture
@@ -100,3 +101,21 @@ def test_lookup_columns_stay_null_without_a_match(skewed, lookup, no_broadcast):
     joined = lookup_join(skewed, lookup.where(F.lit(False)), "key", ["id"])
     assert joined.count() == 3000
     assert joined.where(F.col("value").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16])
+def test_hot_counts_are_the_counts_of_the_hot_keys(skewed, monkeypatch, buckets):
+    """Also where keys that are not hot share a bucket with one that is."""
+    monkeypatch.setattr(joins, "KEY_BUCKETS", buckets)
+    for rows in (1, 2, 999, 1000):
+        expected = {(r.key, r._n) for r in key_counts(skewed, ["key"]).collect() if r._n > rows}
+        assert {(r.key, r._n) for r in hot_counts(skewed, ["key"], rows).collect()} == expected
+
+
+def test_hot_counts_of_different_keys_shuffle_no_row_per_key(spark, monkeypatch):
+    monkeypatch.setattr(joins, "KEY_BUCKETS", 16)
+    counted = hot_counts(spark.range(0, 20_000, 1, 2).selectExpr("id", "concat('k', id) as key"), ["key"])
+    assert counted.collect() == []
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert "Exchange" not in final or "key" not in final
