@@ -16,12 +16,12 @@ The result equals a full rebuild from all events and the present CRM records. Me
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountweave.operators import identity
 from accountweave.operators.identity import KEYS
-from accountweave.operators.joins import HOT_KEY_ROWS, lookup_join
+from accountweave.operators.joins import HOT_KEY_ROWS, hot_counts, lookup_join
 from accountweave.sources.staging import stage
 
 State = dict[str, DataFrame]
@@ -41,7 +41,9 @@ def _crm(contacts: DataFrame, accounts: DataFrame, folder: str | None) -> State:
 def _resolved(tuples: DataFrame, crm: State, hot_rows: int) -> DataFrame:
     """``tuples``: whole visitors, with equal tuples of events and CRM records made one."""
     by_email = lookup_join(tuples, crm["by_email"], "email", [c for c in SPREAD if c != "email"], hot_rows=hot_rows)
-    matched = lookup_join(by_email, crm["by_domain"], "domain", [c for c in SPREAD if c != "domain"], hot_rows=hot_rows)
+    # Counted on the written tuples, which have the same domains: the joined ones then need not be written.
+    counts = hot_counts(tuples, ["domain"], hot_rows)
+    matched = lookup_join(by_email, crm["by_domain"], "domain", [c for c in SPREAD if c != "domain"], counts, hot_rows)
     groups = stage(identity.resolve_groups(matched), "groups")
     return identity.with_identity_id(identity.stitch(groups, hot_rows))
 
@@ -67,17 +69,16 @@ def _looked_up(rows: DataFrame, keys: DataFrame, key: str, hot_rows: int) -> Dat
     return lookup_join(rows, flagged, key, spread, hot_rows=hot_rows).where("_known").drop("_known")
 
 
-def _split(rows: DataFrame, visitors: DataFrame, others: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(rows to be worked out again, all others), by visitor or, without one, by email and domain."""
+def _whom() -> Column:
+    """Visitor or, without one, email and domain: what a row is worked out again by."""
     shown = F.to_json(F.struct("email", "domain"))
-    whom = F.coalesce(F.concat(F.lit("="), "anonymous_id"), F.concat(F.lit("-"), shown))
-    marks = visitors.select(F.concat(F.lit("="), "anonymous_id").alias("_whom")).unionByName(
-        others.select(F.concat(F.lit("-"), shown).alias("_whom"))
-    )
-    flagged = marks.distinct().withColumn("_touched", F.lit(True))
+    return F.coalesce(F.concat(F.lit("="), "anonymous_id"), F.concat(F.lit("-"), shown)).alias("_whom")
+
+
+def _marked(rows: DataFrame, marks: DataFrame, hot_rows: int) -> DataFrame:
+    """``rows`` with ``_touched``: true where they are to be worked out again, else null."""
     spread = [c for c in rows.columns if c in SPREAD]
-    marked = lookup_join(rows.withColumn("_whom", whom), flagged, "_whom", spread, hot_rows=hot_rows).drop("_whom")
-    return marked.where("_touched").drop("_touched"), marked.where("_touched is null").drop("_touched")
+    return lookup_join(rows.select("*", _whom()), marks, "_whom", spread, hot_rows=hot_rows).drop("_whom")
 
 
 def updated(
@@ -98,11 +99,8 @@ def updated(
     for name, key in (("by_email", "email"), ("by_domain", "domain")):
         keys = stage(differing(state[name], new[name]).select(key), f"changed_{key}")
         changed = changed.unionByName(_looked_up(tuples, keys, key, hot_rows).select(*KEYS))
-    touched = stage(changed.distinct(), "touched")
-    visitors = touched.where("anonymous_id is not null").select("anonymous_id").distinct()
-    others = touched.where("anonymous_id is null").select("email", "domain")
-
-    again, _ = _split(tuples, visitors, others, hot_rows)
-    _, kept = _split(state["identities"], visitors, others, hot_rows)
+    marks = stage(changed.select(_whom(), F.lit(True).alias("_touched")).distinct(), "touched")
+    again = _marked(tuples, marks, hot_rows).where("_touched").drop("_touched")
+    kept = _marked(state["identities"], marks, hot_rows).where("_touched is null").drop("_touched")
     fixed = kept.unionByName(_resolved(stage(again, "again"), new, hot_rows))
     return new | {"identities": stage(fixed, "identities", folder)}
