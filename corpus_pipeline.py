@@ -12,13 +12,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from accountweave.llm import chunk_bpe, line_chunks, order_minhash, templates, weak_toxicity
-from accountweave.llm.common import ship
+from accountweave.llm.common import ship, small_batches
 from accountweave.session import checkpoint_folder
 
 
+def _ready(spark: SparkSession) -> None:
+    """What stages with Python workers need."""
+    ship(spark)
+    small_batches(spark)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold, by a model fitted to those of them that have labels."""
-    ship(spark)
+    _ready(spark)
     return weak_toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -29,19 +35,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    ship(spark)
+    _ready(spark)
     return order_minhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    ship(spark)
+    _ready(spark)
     return templates.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Columns of ``docs``, with ``n_tokens`` and ``token_ids`` (ids as little-endian unsigned 32-bit integers)."""
-    ship(spark)
+    _ready(spark)
     return chunk_bpe.with_ids(docs)
 
 

@@ -1,6 +1,9 @@
 import random
 
+import pytest
+
 import corpus_pipeline
+from accountweave.llm.common import BATCH_SETTING
 
 
 def words(r, n):
@@ -45,3 +48,14 @@ def test_empty_tables(spark, documents, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize(("before", "after"), [("64m", f"{4 << 20}b"), ("1m", "1m")])
+def test_batches_for_workers_are_bounded(spark, documents, small_dir, before, after):
+    own = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, before)
+    try:
+        corpus_pipeline.bpe(spark, documents(["one text"]), small_dir)
+        assert spark.conf.get(BATCH_SETTING) == after
+    finally:
+        spark.conf.set(BATCH_SETTING, own)
