@@ -27,6 +27,10 @@ def _byte_letters() -> dict[int, str]:
 _LETTER_OF = _byte_letters()
 
 
+_SPACE_LETTER = _LETTER_OF[ord(" ")]
+_POINTS = ".,;:!?"
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -65,11 +69,31 @@ class SegmentEncoder:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _word(self, word: str, memory: dict[str, bytes]) -> bytes:
+        """Ids of a segment that is not remembered: after a space if ``memory`` is ``known``, else at the start.
+
+        ASCII letters stand for themselves in the vocabulary and are one piece, which the model takes as it is; points
+        behind them are a piece of their own. All else goes through the pattern.
+        """
+        if word.isascii():
+            if word.isalpha():
+                ids = [t.id for t in self.model.tokenize(_SPACE_LETTER + word if memory is self.known else word)]
+                return struct.pack(f"<{len(ids)}I", *ids)
+            letters = word.rstrip(_POINTS)
+            if letters.isalpha() and len(letters) < len(word):
+                ids = memory.get(letters)
+                if ids is None:
+                    ids = self._word(letters, memory)
+                    if len(letters) < 64:
+                        memory[letters] = ids
+                return ids + self._piece(word[len(letters) :])
+        return self._encode(" " + word if memory is self.known else word)
+
     def _piece(self, piece: str) -> bytes:
         memory, word = (self.known, piece[1:]) if piece[0] == " " else (self.first, piece)
         ids = memory.get(word)
         if ids is None:
-            ids = self._encode(piece) if piece.strip() and piece[-1].isalpha() else self._whole(piece)
+            ids = self._word(word, memory) if piece.strip() and piece[-1].isalpha() else self._whole(piece)
             if len(word) < 64:
                 memory[word] = ids
         return ids
@@ -94,7 +118,7 @@ class SegmentEncoder:
                     memory, word = (known, parts[i]) if i else (first, parts[i])
                     ids = memory.get(word)
                     if ids is None:
-                        ids = self._encode(" " + word if i else word)
+                        ids = self._word(word, memory)
                         if len(word) < 64:
                             memory[word] = ids
                     out[i] = ids

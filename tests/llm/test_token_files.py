@@ -63,3 +63,22 @@ def test_odd_rows(spark, documents, odd, tmp_path):
 def test_empty_table(spark, documents, tmp_path):
     T.write_ids(documents([]), str(tmp_path))
     assert T.read_ids(spark, str(tmp_path)).count() == 0
+
+
+def test_plain_words_go_to_the_model_without_the_pattern(monkeypatch):
+    """ASCII words, points behind them, and repeats with other points, at the start of a text and after a space."""
+    coder = SegmentEncoder(vocabulary_path())
+    texts = ["plain words, and. more!? plain: words; plain.", "words", "Zz.,", "a a. a", "x" * 70 + " " + "x" * 70 + "."]
+    expected = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+    def never(self, text):
+        raise AssertionError(text)
+
+    monkeypatch.setattr(SegmentEncoder, "_encode", never)
+    assert [np.frombuffer(coder.encode(t), "<u4").tolist() for t in texts] == expected
+
+
+def test_words_next_to_plain_ones_are_encoded_as_by_the_library():
+    coder = SegmentEncoder(vocabulary_path())
+    for text in ["it's. don't, \u00e9t\u00e9. na\u00efve", "... , a.b a.\nb c\nd. 12. x2, _a_ .", ".a a.. \u00aa. 1st \ta.", "a.\n", "\u4e00. \u4e00 b"]:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
