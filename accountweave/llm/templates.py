@@ -38,34 +38,42 @@ UNITS = frozenset(
     w kw mw v kv a ma j kj cal kcal pa kpa n c f k dollar dollars cent cents euro euros pound pounds percent degree degrees meter meters
     metre metres gram grams kilogram kilograms kilometer kilometers kilometre kilometres""".split()
 )
-_WORD = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[%$€£°]|[.!?\n]")
+_WORD = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[%$€£°]|[.!?\n]")
 _END = frozenset(".!?\n")
 
 
 def _slots(text: str) -> tuple[list[str], list[str]]:
     """Template words with a slot per word, and the lower-case value of each slot (empty where the word is itself)."""
-    words, values, opens, number = [], [], True, False
+    words, slots, opens, number = [], {}, True, False
     for w in _WORD.findall(text):
+        if w.islower() and w.isalpha():  # most words; as below, for lower-case ones that are no number and no name
+            if number and w in UNITS:
+                slots[len(words)] = w
+                w = "<unit>"
+            words.append(w)
+            opens = number = False
+            continue
         if w in _END:
             opens, number = True, False
             continue
+        low = w.lower()
         if w[0].isdigit():
+            slots[len(words)] = w
             words.append("<num>")
-            values.append(w)
             number = True
-        elif number and w.lower() in UNITS:
-            words.append("<unit>")
-            values.append(w.lower())
-            number = False
-        elif not opens and w[0].isupper() and not (len(w) > 1 and w.isupper()):
-            words.append("<name>")
-            values.append(w.lower())
-            number = False
         else:
-            words.append(w.lower())
-            values.append("")
+            if number and low in UNITS:
+                slots[len(words)] = low
+                low = "<unit>"
+            elif not opens and w[0].isupper() and not (len(w) > 1 and w.isupper()):
+                slots[len(words)] = low
+                low = "<name>"
+            words.append(low)
             number = False
         opens = False
+    values = [""] * len(words)
+    for i, value in slots.items():
+        values[i] = value
     return words, values
 
 
@@ -91,8 +99,8 @@ def windows(words: list[str]) -> np.ndarray:
     """64-bit hashes of all runs of ``WINDOW`` template words."""
     if len(words) < WINDOW:
         return np.zeros(0, np.int64)
-    known: dict[str, int] = {}
-    own = np.array([known.get(w) or known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words], np.uint64)
+    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     h = own[: len(own) - WINDOW + 1].copy()
     for i in range(1, WINDOW):
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + own[i : len(own) - WINDOW + 1 + i]

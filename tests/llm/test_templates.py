@@ -1,4 +1,5 @@
 import random
+import re
 
 from accountweave.llm import templates as T
 
@@ -103,3 +104,28 @@ def test_copies_in_another_case_and_with_other_line_breaks(spark, documents):
     texts = [f"{words(r, 20)} {t} {words(r, 20)}" for t in (item, item.lower(), item.upper(), item.title(), broken)]
     assert found(spark, documents, texts, [(1, item)]) == {i: ["1"] for i in range(5)}
     assert T.template("he met Mary Ann Lee today")[0] == "he met <name> today".split()
+
+
+def test_words_and_slots_by_the_plain_rule():
+    """Every word by the rules alone, without a shorter way for lower-case words."""
+
+    def plain(text):
+        out, opens, number = [], True, False
+        for w in re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[%$\u20ac\u00a3\u00b0]|[.!?\n]", text):
+            if w in ".!?\n":
+                opens, number = True, False
+                continue
+            if w[0].isdigit():
+                out.append(("<num>", w))
+            elif number and w.lower() in T.UNITS:
+                out.append(("<unit>", w.lower()))
+            elif not opens and w[0].isupper() and not (len(w) > 1 and w.isupper()):
+                out.append(("<name>", w.lower()))
+            else:
+                out.append((w.lower(), ""))
+            opens, number = False, w[0].isdigit()
+        return out
+
+    odd = ["5 km 5 KM 5 Km km 1,000.5 % \u00b0 A I NASA Bob bob. Bob", "\u00b2 \u00b2ab km \u2177 \u2177x", "\u01c5a \u4e00 \u0130x \u00df \u00aa 3 min. 3 Min", "x1y 7z k", ""]
+    for text in odd:
+        assert list(zip(*T._slots(text), strict=True)) == plain(text)
