@@ -45,8 +45,9 @@ from accountweave.llm.tokens import SPECIAL, token_bytes, vocabulary_path
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A page is closed at so many windows, links or documents; that bounds the memory of a task and changes no result.
 PAGE_WINDOWS, PAGE_LINKS, PAGE_DOCUMENTS = 150_000, 1_500_000, 50_000
-#: Texts that are encoded at a time; characters of words that a worker remembers the ids of. Only speed depends on these.
-TEXTS, MEMORY = 128, 4_000_000
+#: Texts that are encoded at a time, and their characters; characters of words that a worker remembers the ids of. Only speed
+#: and memory depend on these: a window that several texts of a group hold is looked up once.
+TEXTS, CHARACTERS, MEMORY = 512, 2_000_000, 4_000_000
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
 _SEPARATOR = b"\xff\xff\xff\xff"
 
@@ -154,6 +155,18 @@ def first_and_same(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.n
     return first, kind.ravel()
 
 
+def grouped(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """First and last (excluded) place of texts that are taken together: one at least, else within both bounds."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        if i > first and (i - first >= TEXTS or size + len(text) > CHARACTERS):
+            yield first, i
+            first, size = i, 0
+        size += len(text)
+    if texts:
+        yield first, len(texts)
+
+
 @cache
 def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
@@ -269,15 +282,15 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, id_column
 
         for batch in batches:
             kind, texts = batch.column("id").type, batch.column("text").to_pylist()
-            for i in range(0, len(texts), TEXTS):
+            for i, j in grouped(texts):
                 out: list[dict] = []
-                ids = list(both.ids(texts[i : i + TEXTS]))
+                ids = list(both.ids(texts[i:j]))
                 for (x, y), (windows, groups) in zip(ids, page.documents_of(ids), strict=True):
                     n_groups, n_links = (sum(map(s.__getitem__, windows.tolist())) for s in (page.n_groups, page.n_links))
                     if digest and groups:
                         groups = hashlib.sha256(groups.encode()).hexdigest()
                     out.append({"page": number, "kind": DOCUMENT, "n_a": len(x) // 4, "n_b": len(y) // 4, "n_groups": n_groups, "n_links": n_links, "groups": groups, "windows": windows.tobytes()})
-                columns = [batch.column("id").slice(i, TEXTS)] + [pa.array([r.get(f.name) for r in out], f.type) for f in fields]
+                columns = [batch.column("id").slice(i, j - i)] + [pa.array([r.get(f.name) for r in out], f.type) for f in fields]
                 yield pa.record_batch(columns, names=["id", *fields.names])
                 if page.full(page_documents):
                     yield closed()

@@ -148,3 +148,13 @@ def test_ids_of_the_named_library(first):
     for c in map(chr, range(first, first + 0x400)):
         text = f" a{c}b {c}{c} 1{c}2 {c}. .{c}  {c}\n"
         assert both.a.encode_ordinary(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_groups_of_texts_are_bounded_in_number_and_characters():
+    long, short = "x" * (cross_align.CHARACTERS // 3), "y"
+    texts = [long] * 7 + [long * 4] + [short] * (2 * cross_align.TEXTS)
+    groups = list(cross_align.grouped(texts))
+    assert [t for i, j in groups for t in texts[i:j]] == texts
+    assert all(j - i <= cross_align.TEXTS and (j - i == 1 or sum(map(len, texts[i:j])) <= cross_align.CHARACTERS) for i, j in groups)
+    assert [j - i for i, j in groups[:3]] == [3, 3, 1] and len(groups) < 9
+    assert list(cross_align.grouped([])) == []
