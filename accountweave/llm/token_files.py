@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,53 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return planes.view("<u4").reshape(-1)
 
 
+def _joined(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a column of bytes, one after the other, and where each row begins, with the end."""
+    column = column.cast(pa.large_binary())
+    _, begins, data = column.buffers()
+    begins = np.frombuffer(begins, np.int64)[column.offset : column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    data = np.frombuffer(data or b"", np.uint8)[begins[0] : begins[-1]]
+    return data.view(kind), (begins - begins[0]) // size
+
+
+def _cut(data: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """Bytes as a column, a row from each of ``begins`` to the next."""
+    buffers = [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins) - 1, buffers).cast(pa.binary())
+
+
+def _places(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's control bytes begin, and the place of each value's bits among those of all rows."""
+    sizes = np.diff(begins)
+    quads = np.concatenate([[0], np.cumsum(-(-sizes // 4))])
+    return quads, np.arange(begins[-1]) + np.repeat(4 * quads[:-1] - begins[:-1], sizes)
+
+
+def pack_rows(values: np.ndarray, begins: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """``pack`` of each row, where rows are runs of ``values`` from each of ``begins`` to the next."""
+    values = values.astype("<u4")
+    codes = np.zeros(len(values), np.uint8)
+    for bits in (8, 16, 24):
+        codes += values >= 1 << bits
+    quads, place = _places(begins)
+    padded = np.zeros(4 * quads[-1], np.uint8)
+    padded[place] = codes
+    padded = padded.reshape(-1, 4)
+    control = padded[:, 0] | padded[:, 1] << 2 | padded[:, 2] << 4 | padded[:, 3] << 6
+    ends = np.concatenate([[0], np.cumsum(codes, dtype=np.int64)])[begins] + begins
+    return _cut(control, quads), _cut(values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= codes[:, None]], ends)
+
+
+def unpack_rows(control: pa.Array, data: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values and begins of rows that ``pack_rows`` was given."""
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    lengths = LENGTHS[_joined(control, "u1")[0]].reshape(-1)[_places(begins)[1]]
+    planes = np.zeros((begins[-1], 4), np.uint8)
+    planes[np.arange(4) < lengths[:, None]] = _joined(data, "u1")[0]
+    return planes.view("<u4").reshape(-1), begins
+
+
 def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
     """``part, seq, doc_id, ids`` (little-endian, 16 bits where the vocabulary allows) in ascending order of ids."""
     tie = F.xxhash64("text")
@@ -58,11 +106,14 @@ def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int, id_column: str,
         coder, end, seq = encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
         wide = coder.wide
         for batch in batches:
-            ids = [coder.encode(t) + end for t in batch.column("text").to_pylist()]
-            ids = ids if wide else [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-            own = pa.array(range(seq, seq + len(ids)), pa.int64())
-            seq += len(ids)
-            yield pa.record_batch([own, batch.column("doc_id"), batch.column("part"), pa.array(ids, pa.binary())], names=["seq", "doc_id", "part", "ids"])
+            rows = [coder.encode(t) + end for t in batch.column("text").to_pylist()]
+            own = pa.array(range(seq, seq + len(rows)), pa.int64())
+            seq += len(rows)
+            ids = pa.array(rows, pa.binary())
+            if not wide:
+                values, begins = _joined(ids, "<u4")
+                ids = _cut(values.astype("<u2").view(np.uint8), 2 * begins)
+            yield pa.record_batch([own, batch.column("doc_id"), batch.column("part"), ids], names=["seq", "doc_id", "part", "ids"])
 
     return ordered.withColumn("part", F.spark_partition_id()).select("part", "doc_id", "text").mapInArrow(
         run, f"seq long, doc_id {kind}, part int, ids binary"
@@ -75,13 +126,12 @@ def id_counts(encoded: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                part = np.bincount(np.frombuffer(ids, f"<u{width}"))
-                if len(part) > len(total):
-                    part[: len(total)] += total
-                    total = part
-                else:
-                    total[: len(part)] += part
+            part = np.bincount(_joined(batch.column("ids"), f"<u{width}")[0])
+            if len(part) > len(total):
+                part[: len(total)] += total
+                total = part
+            else:
+                total[: len(part)] += part
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -116,11 +166,9 @@ def write_ids(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
         for batch in batches:
-            values = [ranks[np.frombuffer(x, f"<u{width}")] for x in batch.column("ids").to_pylist()]
-            packed = [pack(v) for v in values]
-            columns = [batch.column("part"), batch.column("seq"), batch.column("doc_id"), pa.array(map(len, values), pa.int64())]
-            columns += [pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]
-            yield pa.record_batch(columns, names=["part", "seq", "doc_id", "n", "control", "data"])
+            ids, begins = _joined(batch.column("ids"), f"<u{width}")
+            columns = [batch.column("part"), batch.column("seq"), batch.column("doc_id"), pa.array(np.diff(begins), pa.int64())]
+            yield pa.record_batch([*columns, *pack_rows(ranks[ids], begins)], names=["part", "seq", "doc_id", "n", "control", "data"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     written = encoded.mapInArrow(run, f"part int, seq long, doc_id {kind}, n long, control binary, data binary")
@@ -135,9 +183,10 @@ def read_ids(spark: SparkSession, path: str, ids: bool = True, id_type: str = "l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_of = shared.value
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("control", "data", "n")), strict=True)
-            values = [id_of[unpack(*row)] for row in rows]
-            crc = pa.array([zlib.crc32(v.tobytes()) for v in values], pa.int64())
+            ranks, begins = unpack_rows(batch.column("control"), batch.column("data"), batch.column("n").to_numpy())
+            flat = id_of[ranks]
+            values = [flat[a:b] for a, b in pairwise(begins.tolist())]
+            crc = pa.array([zlib.crc32(v) for v in values], pa.int64())
             columns = [batch.column("part"), batch.column("seq"), batch.column("doc_id"), batch.column("n"), crc]
             names = ["part", "seq", "doc_id", "n_tokens", "ids_crc32"]
             if ids:

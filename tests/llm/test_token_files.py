@@ -82,3 +82,25 @@ def test_words_next_to_plain_ones_are_encoded_as_by_the_library():
     coder = SegmentEncoder(vocabulary_path())
     for text in ["it's. don't, \u00e9t\u00e9. na\u00efve", "... , a.b a.\nb c\nd. 12. x2, _a_ .", ".a a.. \u00aa. 1st \ta.", "a.\n", "\u4e00. \u4e00 b"]:
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("rows", [[], [[]], [[], [300], [], [1, 2, 3, 4, 70000], [1 << 24]], [list(range(0, 70000, 7)), [0, 256, 65536]]])
+def test_rows_are_packed_as_one_by_one(rows):
+    begins = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    control, data = T.pack_rows(np.array([v for r in rows for v in r], np.uint32), begins)
+    assert list(zip(control.to_pylist(), data.to_pylist(), strict=True)) == [T.pack(np.array(r, np.uint32)) for r in rows]
+    values, again = T.unpack_rows(control, data, np.diff(begins))
+    assert [values[a:b].tolist() for a, b in zip(again, again[1:], strict=False)] == rows
+    if len(rows) > 2:
+        values, again = T.unpack_rows(control[1:], data[1:], np.diff(begins)[1:])
+        assert [values[a:b].tolist() for a, b in zip(again, again[1:], strict=False)] == rows[1:]
+
+
+def test_a_worker_remembers_more_than_half_a_million_segments(monkeypatch):
+    """Words seen once stay known while as many others pass as a worker's share of documents holds."""
+    coder = SegmentEncoder(vocabulary_path())
+    monkeypatch.setattr(SegmentEncoder, "_word", lambda self, word, memory: b"\0\0\0\0")
+    for at in range(0, 600_000, 50_000):
+        coder.encode(" ".join(map(str, range(at, at + 50_000))))
+    coder.encode("last")
+    assert len(coder.known) > 500_000
