@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from accountweave.llm.common import stage, text_of
 from accountweave.llm.tokens import encoder, vocabulary_path
 
+#: Segments that a worker remembers here, where encoding is most of the work and nothing else needs the memory.
+SEGMENTS = 690_000
 #: For each control byte the lengths of its four ids.
 LENGTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], dtype=np.uint8)
 
@@ -103,7 +105,7 @@ def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int, id_column: str,
     kind = ordered.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end, seq = encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
+        coder, end, seq = encoder(vocabulary, SEGMENTS), np.array([end_id], "<u4").tobytes(), 0
         wide = coder.wide
         for batch in batches:
             rows = [coder.encode(t) + end for t in batch.column("text").to_pylist()]
@@ -153,7 +155,7 @@ def write_ids(
     """
     spark = docs.sparkSession
     vocabulary = vocabulary or vocabulary_path()
-    width = 4 if encoder(vocabulary).wide else 2
+    width = 4 if encoder(vocabulary, SEGMENTS).wide else 2
     encoded = stage(encode_sorted(docs, vocabulary, end_id, id_column, text_column), "token-ids", compression="zstd")
     counted = id_counts(encoded, width).orderBy(F.desc("n"), "id").collect()
     spark.createDataFrame([(rank, r.id, r.n) for rank, r in enumerate(counted)], "rank long, id long, n long").coalesce(1).write.parquet(

@@ -8,8 +8,8 @@ import struct
 from functools import cache
 
 SPECIAL = "<|endoftext|>"
-#: Segments that one worker remembers, at about 200 bytes each; beyond that it starts afresh. Only speed depends on it.
-MEMORY = 690_000
+#: Segments that one worker remembers; beyond that it starts afresh. Only speed depends on it.
+MEMORY = 300_000
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
 _LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
@@ -45,10 +45,11 @@ class SegmentEncoder:
     the special token go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.memory = memory
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -108,7 +109,7 @@ class SegmentEncoder:
             return self._encode(text)
         parts = _BEFORE_WORD.split(text) if _ODD_SPACE.search(text) else text.split(" ")
         known, first = self.known, self.first
-        if len(known) + len(first) > MEMORY:
+        if len(known) + len(first) > self.memory:
             known.clear()
             first.clear()
         out = [first.get(parts[0]), *map(known.get, parts[1:])]
@@ -126,9 +127,9 @@ class SegmentEncoder:
 
 
 @cache
-def encoder(path: str) -> SegmentEncoder:
+def encoder(path: str, memory: int = MEMORY) -> SegmentEncoder:
     """One for each worker process."""
-    return SegmentEncoder(path)
+    return SegmentEncoder(path, memory)
 
 
 @cache

@@ -98,7 +98,7 @@ def test_rows_are_packed_as_one_by_one(rows):
 
 def test_a_worker_remembers_more_than_half_a_million_segments(monkeypatch):
     """Words seen once stay known while as many others pass as a worker's share of documents holds."""
-    coder = SegmentEncoder(vocabulary_path())
+    coder = SegmentEncoder(vocabulary_path(), T.SEGMENTS)
     monkeypatch.setattr(SegmentEncoder, "_word", lambda self, word, memory: b"\0\0\0\0")
     for at in range(0, 600_000, 50_000):
         coder.encode(" ".join(map(str, range(at, at + 50_000))))
